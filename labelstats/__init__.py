@@ -29,6 +29,7 @@ from labelstats.operators.models import (
 )
 from labelstats.operators.prepare import (
     Prepared,
+    fit_preparation,
     hash_split,
     prep_stages,
     prepare,
@@ -80,6 +81,7 @@ __all__ = [
     "error_rate",
     "filter_class",
     "first_rows",
+    "fit_preparation",
     "hash_split",
     "keyed_mean",
     "keyed_sum",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,13 @@ def order_bucket(value: Column) -> Column:
     )
 
 
+def running_total(amount: str, group: WindowSpec, order: str) -> Column:
+    """Sum of ``amount`` up to and including the row; ``order`` is unique in a group."""
+    return F.sum(amount).over(
+        group.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+
 def hash_fraction(keys: Sequence[str], seed: int) -> Column:
     """A number in [0, 1) that depends on the key values and the seed alone."""
     text = F.concat_ws(":", *[column(k).cast("string") for k in keys], F.lit(str(seed)))

@@ -8,7 +8,13 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelstats.functions.expressions import column, finite_or_fail, order_bucket, pearson
+from labelstats.functions.expressions import (
+    column,
+    finite_or_fail,
+    order_bucket,
+    pearson,
+    running_total,
+)
 
 
 def correlation(
@@ -88,7 +94,7 @@ def _average_ranks(data: DataFrame, keys: Sequence[str], name: str) -> DataFrame
     starts = (
         values.groupBy(*keyed, "bucket")
         .agg(F.sum("n").alias("size"))
-        .withColumn("upto", F.sum("size").over(Window.partitionBy(*keyed).orderBy("bucket")))
+        .withColumn("upto", running_total("size", Window.partitionBy(*keyed), "bucket"))
         .select(
             *[column(k).alias(f"__{k}") for k in keys],
             F.col("bucket").alias("__bucket"),
@@ -96,7 +102,7 @@ def _average_ranks(data: DataFrame, keys: Sequence[str], name: str) -> DataFrame
         )
     )
     on = [column(k).eqNullSafe(column(f"__{k}")) for k in [*keys, "bucket"]]
-    upto = F.sum("n").over(Window.partitionBy(*keyed, "bucket").orderBy("value"))
+    upto = running_total("n", Window.partitionBy(*keyed, "bucket"), "value")
     return values.join(starts, on).select(
         *[column(k).alias(f"__{k}") for k in keys],
         F.col("value").alias("__value"),

@@ -5,14 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (
+    ElementwiseProduct,
+    StandardScaler,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelstats.functions.expressions import hash_fraction
+from labelstats.functions.expressions import column, hash_fraction
 
 LABEL = "label"
 FEATURES = "features"
@@ -57,7 +66,7 @@ def prep_stages(
     label_order: Sequence[str] | None = None,
     handle_invalid: str = "error",
 ) -> Pipeline:
-    """Indexer, assembler and scaler in one pipeline."""
+    """Indexer, assembler and scaler as one pipeline to fit; see also ``fit_preparation``."""
     return Pipeline(
         stages=[
             label_indexer(label_col, LABEL, label_order),
@@ -67,6 +76,52 @@ def prep_stages(
     )
 
 
+def fit_preparation(
+    df: DataFrame,
+    label_col: str,
+    feature_cols: Sequence[str],
+    label_order: Sequence[str] | None = None,
+    handle_invalid: str = "error",
+) -> PipelineModel:
+    """The same model that fitting ``prep_stages`` gives, from one pass of aggregates.
+
+    Class frequencies and standard deviations come out of the same scan, on the plain
+    columns; the pipeline would scan once per stage, the second time over vectors. Only
+    one row per class and a total reach the driver, as in any fit.
+    """
+    if handle_invalid not in ("error", "skip"):
+        raise ValueError("handle_invalid must be 'error' or 'skip'")
+    if handle_invalid == "skip":
+        for c in feature_cols:
+            df = df.where(column(c).isNotNull() & ~F.isnan(column(c).cast("double")))
+    spreads = [F.stddev_samp(column(c)).alias(f"s{i}") for i, c in enumerate(feature_cols)]
+    if label_order is None:
+        figures = (
+            df.withColumn("class", column(label_col).cast("string"))
+            .rollup("class")
+            .agg(F.grouping("class").alias("is_total"), F.count("*").alias("n"), *spreads)
+            .orderBy(F.desc("is_total"), F.desc("n"), "class")
+            .collect()
+        )
+        total = figures[0] if figures else None
+        order = [r["class"] for r in figures[1:] if r["class"] is not None]
+    else:
+        total = df.agg(*spreads).first()
+        order = list(label_order)
+    if total is None or not order:
+        raise ValueError("no rows to fit the preparation on")
+    factors = [1.0 / s if (s := total[f"s{i}"]) else 0.0 for i in range(len(feature_cols))]
+    return PipelineModel(
+        stages=[
+            label_indexer(label_col, LABEL, order),
+            assembler(feature_cols, FEATURES, handle_invalid),
+            ElementwiseProduct(
+                scalingVec=Vectors.dense(factors), inputCol=FEATURES, outputCol=SCALED
+            ),
+        ]
+    )
+
+
 def with_split(
     df: DataFrame,
     keys: Sequence[str],
@@ -100,11 +155,12 @@ def hash_split(
     """One frame per weight; disjoint, complete, and the same as in ``with_split``."""
     place = hash_fraction(keys, seed)
     edges = _edges(weights)
-    lows = [0.0, *edges[:-1]]
     frames = []
-    for i, (low, high) in enumerate(zip(lows, edges)):
-        last = i == len(edges) - 1
-        frames.append(df.where(place >= low if last else (place >= low) & (place < high)))
+    for i in range(len(edges)):
+        # The outer splits have one open side, so that the hash is taken once per row.
+        inside = [place >= edges[i - 1]] if i > 0 else []
+        inside += [place < edges[i]] if i < len(edges) - 1 else []
+        frames.append(df.where(reduce(and_, inside, F.lit(True))))
     return frames
 
 
@@ -133,9 +189,10 @@ class Prepared:
     def kept(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[Prepared]:
         """Keep the columns that training reads in memory, with disk behind it.
 
-        All models and iterations inside the ``with`` block share them.
+        All models and iterations inside the ``with`` block share them. Rows that come in
+        fewer partitions than there are cores, as from one large file, are spread first.
         """
-        train = self.train.select(LABEL, FEATURES, SCALED).persist(level)
+        train = _spread(self.train.select(LABEL, FEATURES, SCALED)).persist(level)
         try:
             yield replace(self, train=train)
         finally:
@@ -163,11 +220,17 @@ def prepare(
     if len(weights) != 2:
         raise ValueError("prepare needs a train and a test weight")
     train, test = hash_split(df, keys, weights, seed) if keys else random_split(df, weights, seed)
-    stages = prep_stages(label_col, feature_cols, label_order, handle_invalid)
-    model = stages.fit(df if fit_on == "all" else train)
+    model = fit_preparation(
+        df if fit_on == "all" else train, label_col, feature_cols, label_order, handle_invalid
+    )
     return Prepared(model.transform(train), model.transform(test), list(feature_cols), model)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _edges(weights: Sequence[float]) -> list[float]:
     total = float(sum(weights))
     if total <= 0 or any(w < 0 for w in weights):

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelstats.functions.expressions import column, order_bucket
+from labelstats.functions.expressions import column, order_bucket, running_total
 from labelstats.operators.attach import attach
 from labelstats.operators.shape import to_long, to_wide
 
@@ -100,7 +100,7 @@ def _quantiles(rows: DataFrame, label_col: str, probabilities: Mapping[str, floa
     histogram = (
         rows.groupBy(label, "feature", "bucket")
         .agg(F.count("*").alias("size"))
-        .withColumn("upto", F.sum("size").over(group.orderBy("bucket")))
+        .withColumn("upto", running_total("size", group, "bucket"))
         .withColumn("total", F.sum("size").over(group))
         .withColumn("before", F.col("upto") - F.col("size"))
     )
@@ -111,15 +111,12 @@ def _quantiles(rows: DataFrame, label_col: str, probabilities: Mapping[str, floa
     targets = histogram.where(wanted).select(label, "feature", "bucket", "before", "total")
 
     keys = [label_col, "feature", "bucket"]
+    bucket = Window.partitionBy(*[column(k) for k in keys])
     ranked = (
         attach(rows, targets, keys)
         .groupBy(*[column(k) for k in keys], "before", "total", "value")
         .agg(F.sum("n").alias("size"))
-        .withColumn(
-            "upto",
-            F.col("before")
-            + F.sum("size").over(Window.partitionBy(*[column(k) for k in keys]).orderBy("value")),
-        )
+        .withColumn("upto", F.col("before") + running_total("size", bucket, "value"))
         .withColumn("before", F.col("upto") - F.col("size"))
     )
     picks = []

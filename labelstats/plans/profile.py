@@ -160,7 +160,8 @@ def boxplot_stats(spark: SparkSession, folder: str) -> DataFrame:
     rows = lineitem(spark, folder).select(
         LABEL, "l_quantity", (F.col("l_extendedprice") * F.col("l_discount")).alias("rebate")
     )
-    return rounded(ls.boxplot_stats(rows, LABEL, ["l_quantity", "rebate"]))
+    # A quarter of a product with four decimals has six.
+    return rounded(ls.boxplot_stats(rows, LABEL, ["l_quantity", "rebate"]), 6)
 
 
 # Frequencies
@@ -356,12 +357,12 @@ def _event_stat_sql(tag: str, call: str) -> str:
 def _boxplot_sql() -> str:
     def one(name: str, expr: str) -> str:
         return f"""
-        SELECT t.l_linestatus, '{name}' AS feature, round(any_value(q.q1), 4) AS q1,
-               round(any_value(q.med), 4) AS median, round(any_value(q.q3), 4) AS q3,
+        SELECT t.l_linestatus, '{name}' AS feature, round(any_value(q.q1), 6) AS q1,
+               round(any_value(q.med), 6) AS median, round(any_value(q.q3), 6) AS q3,
                round(least(min(t.v) FILTER (WHERE t.v >= q.q1 - 1.5 * (q.q3 - q.q1)),
-                           any_value(q.q1)), 4) AS whisker_low,
+                           any_value(q.q1)), 6) AS whisker_low,
                round(greatest(max(t.v) FILTER (WHERE t.v <= q.q3 + 1.5 * (q.q3 - q.q1)),
-                              any_value(q.q3)), 4) AS whisker_high,
+                              any_value(q.q3)), 6) AS whisker_high,
                CAST(count(*) FILTER (WHERE t.v < q.q1 - 1.5 * (q.q3 - q.q1)
                                      OR t.v > q.q3 + 1.5 * (q.q3 - q.q1)) AS BIGINT) AS outliers
         FROM (SELECT l_linestatus, {expr} AS v FROM lineitem) AS t

@@ -1,0 +1,115 @@
+"""Every registered query against its SQL, and the shape of the important plans."""
+
+from __future__ import annotations
+
+import glob
+import os
+import re
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as entry_point
+import labelstats as ls
+
+FOLDER = os.environ.get("LABELSTATS_TABLES", "/root/testdata/sf0.001")
+QUERIES = entry_point.queries()
+ORACLES = entry_point.oracle_sql()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def tables():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{FOLDER}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    yield connection
+    connection.close()
+
+
+def normal(df: pd.DataFrame) -> pd.DataFrame:
+    cols = sorted(df.columns)
+    df = df[cols].sort_values(cols, ignore_index=True).astype(object)
+    return df.where(df.notna(), None)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, tables, name):
+    found = QUERIES[name](spark, FOLDER).toPandas()
+    expected = tables.execute(ORACLES[name]).df()
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert {c: str(found[c].dtype) for c in found} == {c: str(expected[c].dtype) for c in expected}
+    pd.testing.assert_frame_equal(normal(found), normal(expected), check_exact=True)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_without_sql_gives_rows(spark, name):
+    found = QUERIES[name](spark, FOLDER).toPandas()
+    assert len(found) > 0
+    assert found["accuracy"].between(0, 1).all()
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
+
+
+def test_entry(spark):
+    table = entry_point.entry(spark)
+    assert table.columns[:2] == ["l_linestatus", "Summary"]
+    assert table.count() == 10
+
+
+# Plans
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_python_in_any_plan(spark):
+    for name in ORACLES:
+        if name in ("model_comparison_separable", "prepared_split"):
+            continue
+        text = plan(QUERIES[name](spark, FOLDER))
+        assert not re.search(r"Python|BatchEval|ArrowEval", text), name
+        assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = plan(QUERIES["filter_by_class"](spark, FOLDER))
+    assert "EqualTo(l_linestatus,F)" in text
+    text = plan(QUERIES["value_counts"](spark, FOLDER))
+    assert "ReadSchema: struct<l_quantity:double>" in text
+
+
+def test_statistics_share_one_scan(spark):
+    lineitem = ls.read_table(spark, FOLDER, "lineitem")
+    four = ["Mean", "Min", "Max", "Var"]
+    text = plan(ls.class_summary(lineitem, "l_linestatus", ["l_quantity", "l_tax"], four))
+    assert text.count("FileScan") == 1
+    assert text.count("Exchange") == 1
+    assert plan(QUERIES["class_summary"](spark, FOLDER)).count("FileScan") == 2
+    for name in ("class_correlation", "model_comparison", "confusion_matrix", "table_summary"):
+        text = plan(QUERIES[name](spark, FOLDER))
+        assert text.count("FileScan") == 1, name
+        assert text.count("Exchange") == 1, name
+
+
+def test_mode_never_sorts_or_gathers_a_class(spark):
+    text = plan(QUERIES["class_mode"](spark, FOLDER))
+    assert "Window" not in text
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+def test_top_k_is_not_a_full_sort(spark):
+    text = plan(QUERIES["kth_frequent_value"](spark, FOLDER))
+    assert "TakeOrderedAndProject" in text
+
+
+def test_box_plot_joins_figures_by_broadcast(spark):
+    text = plan(QUERIES["boxplot_stats"](spark, FOLDER))
+    assert "BroadcastHashJoin" in text
+    assert text.count("FileScan") == 1
