@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Buckets per power of two in ``order_bucket``.
-BUCKETS_PER_OCTAVE = 65_536
-# log2 of the smallest positive double is -1074, and every finite double is below 2**1024.
-_LOWEST_OCTAVE = 1_075
-_HIGHEST_OCTAVE = 1_024
+# Equal steps between two neighbouring edges in ``place``.
+STEPS = 4_096
 
 
 def column(name: str) -> Column:
@@ -55,28 +54,26 @@ def finite_or_fail(name: str) -> Column:
     return F.when(c.isNull() | F.isnan(c), fail).otherwise(c)
 
 
-def order_bucket(value: Column) -> Column:
-    """Bucket number of a double, never decreasing as the value grows.
+def place(value: Column, edges: Sequence[Column]) -> tuple[Column, Column]:
+    """``(region, step)`` of a value among two or more edges; both grow with the value.
 
-    Buckets are steps of a logarithmic scale, so they need no look at the data, give
-    the same number in every run and follow the values over any range. NaN goes above
-    all numbers, as Spark sorts it.
+    The region is the number of edges below the value, the step its place on a linear
+    scale between the neighbouring edges. Any edges keep the order; edges near the
+    quantiles of the data keep the places evenly filled.
     """
-    octave = F.least(F.log2(F.abs(value)), F.lit(float(_HIGHEST_OCTAVE)))
-    step = F.floor((octave + _LOWEST_OCTAVE) * BUCKETS_PER_OCTAVE)
-    return (
-        F.when(F.isnan(value), F.lit((_LOWEST_OCTAVE + _HIGHEST_OCTAVE + 1) * BUCKETS_PER_OCTAVE))
-        .when(value > 0, step)
-        .when(value < 0, -step)
-        .otherwise(F.lit(0))
-        .cast("bigint")
-    )
+    region = reduce(add, [(e < value).cast("int") for e in edges])
+    below = F.greatest(*[F.when(e < value, e) for e in edges])
+    above = F.least(*[F.when(e >= value, e) for e in edges])
+    # Halved, so that the distance of two large edges is still a number.
+    share = F.try_divide(value / 2 - below / 2, above / 2 - below / 2)
+    step = F.when((share >= 0) & (share <= 1), F.floor(share * STEPS).cast("int")).otherwise(0)
+    return region, step
 
 
-def running_total(amount: str, group: WindowSpec, order: str) -> Column:
+def running_total(amount: str, group: WindowSpec, *order: str) -> Column:
     """Sum of ``amount`` up to and including the row; ``order`` is unique in a group."""
     return F.sum(amount).over(
-        group.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        group.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
 
 

@@ -36,24 +36,28 @@ def settle(df: DataFrame) -> DataFrame:
 def attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Give each row of ``rows`` (the keys and ``value``) the figures of its group.
 
-    ``stats`` has one row per group and is computed here. If it is small it is
-    broadcast and the rows stay where they are. Otherwise equal rows are counted
-    first and every group is spread over ``SALTS`` parts by its value, so that no
-    group, however large, meets its figures in one task. ``n`` tells how many input
-    rows an output row stands for. Rows of groups without figures fall out.
+    ``stats`` has one row per group and has been settled. If it is small it is broadcast
+    and the rows stay where they are. Otherwise equal rows are counted first and every
+    group is spread over ``SALTS`` parts by its value, so that no group, however large,
+    meets its figures in one task. ``n`` tells how many input rows an output row stands
+    for; rows that have it already are taken as counted. Rows of groups without figures
+    fall out.
     """
-    stats = settle(stats)
+    counted = "n" in rows.columns
     if stats.count() * len(stats.columns) <= BROADCAST_CELLS:
-        return _join_null_safe(rows.withColumn("n", F.lit(1)), F.broadcast(stats), keys)
-    counted = rows.groupBy(*[column(k) for k in keys], "value").agg(F.count("*").alias("n"))
-    spread = counted.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
+        rows = rows if counted else rows.withColumn("n", F.lit(1))
+        return join_null_safe(rows, F.broadcast(stats), keys)
+    if not counted:
+        rows = rows.groupBy(*[column(k) for k in keys], "value").agg(F.count("*").alias("n"))
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
     copies = stats.withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
     )
-    return _join_null_safe(spread, copies, [*keys, "salt"]).drop("salt")
+    return join_null_safe(spread, copies, [*keys, "salt"]).drop("salt")
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on the keys in which null equals null; the keys appear once."""
     renamed = {k: f"__{k}" for k in keys}
     right = right.withColumnsRenamed(renamed)
     on = [column(k).eqNullSafe(column(r)) for k, r in renamed.items()]

@@ -11,10 +11,19 @@ from pyspark.sql import functions as F
 from labelstats.functions.expressions import (
     column,
     finite_or_fail,
-    order_bucket,
     pearson,
+    place,
     running_total,
 )
+from labelstats.operators.attach import attach, join_null_safe, settle
+from labelstats.operators.quantiles import sketched_edges
+from labelstats.operators.shape import to_long
+
+# Shares of the rows between which ranks are counted; denser at the ends, where values
+# may lie far apart.
+EDGES = (
+    [0.0001, 0.001, 0.01] + [i / 16 for i in range(1, 16)] + [0.99, 0.999, 0.9999]
+)
 
 
 def correlation(
@@ -68,9 +77,10 @@ def _matrix(
 
 def _as_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Replace every value by its average rank within its column (and class)."""
+    edges = settle(sketched_edges(data, keys, names, EDGES))
     ranked = data
     for name in names:
-        ranks = _average_ranks(data, keys, name)
+        ranks = _average_ranks(data, keys, name, edges)
         on = [column(k).eqNullSafe(column(f"__{k}")) for k in keys]
         ranked = ranked.join(ranks, [F.col(name) == F.col("__value"), *on]).select(
             *[column(k) for k in keys],
@@ -79,31 +89,41 @@ def _as_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> Dat
     return ranked
 
 
-def _average_ranks(data: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+def _average_ranks(
+    data: DataFrame, keys: Sequence[str], name: str, edges: DataFrame
+) -> DataFrame:
     """The average rank of each distinct value of one column.
 
-    Ranks are running totals of value counts. They are taken inside the buckets of a
-    fixed scale and then over the buckets, so that no column is sorted in one task.
+    Ranks are running totals of value counts. They are taken inside places that hold a
+    small share of the rows each, and then over the places, so that no column is sorted
+    in one task.
     """
-    keyed = [column(k) for k in keys]
+    group = [*keys, "feature"]
     values = (
-        data.groupBy(*keyed, F.col(name).alias("value"))
+        to_long(data, keys, [name])
+        .groupBy(*[column(k) for k in group], "value")
         .agg(F.count("*").alias("n"))
-        .withColumn("bucket", order_bucket(F.col("value")))
     )
+    bounds = [F.col("lowest"), *[F.col(f"e{j}") for j in range(len(EDGES))], F.col("highest")]
+    region, step = place(F.col("value"), bounds)
+    placed = attach(values, edges.where(F.col("feature") == name), group).select(
+        *[column(k) for k in group], region.alias("region"), step.alias("step"), "value", "n"
+    )
+    places = [*group, "region", "step"]
     starts = (
-        values.groupBy(*keyed, "bucket")
+        placed.groupBy(*[column(k) for k in places])
         .agg(F.sum("n").alias("size"))
-        .withColumn("upto", running_total("size", Window.partitionBy(*keyed), "bucket"))
-        .select(
-            *[column(k).alias(f"__{k}") for k in keys],
-            F.col("bucket").alias("__bucket"),
-            (F.col("upto") - F.col("size")).alias("start"),
+        .withColumn(
+            "upto",
+            running_total(
+                "size", Window.partitionBy(*[column(k) for k in group]), "region", "step"
+            ),
         )
+        .select(*[column(k) for k in places], (F.col("upto") - F.col("size")).alias("start"))
     )
-    on = [column(k).eqNullSafe(column(f"__{k}")) for k in [*keys, "bucket"]]
-    upto = running_total("n", Window.partitionBy(*keyed, "bucket"), "value")
-    return values.join(starts, on).select(
+    here = Window.partitionBy(*[column(k) for k in places])
+    upto = running_total("n", here, "value")
+    return join_null_safe(placed, starts, places).select(
         *[column(k).alias(f"__{k}") for k in keys],
         F.col("value").alias("__value"),
         (F.col("start") + upto - (F.col("n") - 1) / 2.0).alias("__rank"),

@@ -7,10 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelstats.functions.expressions import column, order_bucket, running_total
-from labelstats.operators.attach import attach
+from labelstats.functions.expressions import column, place, running_total
+from labelstats.operators.attach import attach, join_null_safe, settle
 from labelstats.operators.shape import to_long, to_wide
 
+# Sketched ranks are off by at most one in this many rows.
+SKETCH_ACCURACY = 10_000
+# Brackets reach this share of the rows to either side of a wanted rank, four times the
+# error of the sketch.
+MARGIN = 4 / SKETCH_ACCURACY
+
 
 def median_approx_by_class(
     df: DataFrame, label_col: str, feature_cols: Sequence[str], accuracy: int = 10_000
@@ -42,7 +48,7 @@ def quantiles_by_class(
     ``probabilities`` maps output names to fractions. Nulls do not count; NaN is above
     all numbers. See :func:`_quantiles` for how the rows are reduced.
     """
-    return _quantiles(_present(df, label_col, feature_cols), label_col, probabilities)
+    return _quantiles(_doubles(df, label_col, feature_cols), label_col, feature_cols, probabilities)
 
 
 def boxplot_stats(df: DataFrame, label_col: str, feature_cols: Sequence[str]) -> DataFrame:
@@ -52,12 +58,16 @@ def boxplot_stats(df: DataFrame, label_col: str, feature_cols: Sequence[str]) ->
     the box, never inside the box) and the number of outliers beyond them. Null and NaN
     do not count.
     """
-    rows = _present(df, label_col, feature_cols).where(~F.isnan("value"))
-    box = _quantiles(rows, label_col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    numbers = _doubles(df, label_col, feature_cols)
+    numbers = numbers.select(
+        column(label_col),
+        *[F.when(~F.isnan(column(c)), column(c)).alias(c) for c in feature_cols],
+    )
+    box = _quantiles(numbers, label_col, feature_cols, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fenced = attach(
-        rows,
-        box.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach}),
+        _present(numbers, label_col, feature_cols),
+        settle(box.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})),
         [label_col, "feature"],
     )
     value = F.col("value")
@@ -82,41 +92,89 @@ def boxplot_stats(df: DataFrame, label_col: str, feature_cols: Sequence[str]) ->
     )
 
 
+def sketched_edges(
+    df: DataFrame, keys: Sequence[str], feature_cols: Sequence[str], fractions: Sequence[float]
+) -> DataFrame:
+    """Approximate quantiles as ``(keys, feature, total, lowest, highest, e0, e1, ...)``."""
+    keyed = [column(k) for k in keys]
+    sketches = []
+    for i, c in enumerate(feature_cols):
+        sketches += [
+            F.count(column(c)).alias(f"total{i}"),
+            F.min(column(c)).alias(f"lowest{i}"),
+            F.max(column(c)).alias(f"highest{i}"),
+            F.percentile_approx(column(c), list(fractions), SKETCH_ACCURACY).alias(f"edges{i}"),
+        ]
+    rows = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            *[F.col(f"{name}{i}").alias(name) for name in ("total", "lowest", "highest")],
+            *[F.col(f"edges{i}")[j].alias(f"e{j}") for j in range(len(fractions))],
+        )
+        for i, c in enumerate(feature_cols)
+    ]
+    return (
+        df.groupBy(*keyed)
+        .agg(*sketches)
+        .select(*keyed, F.inline(F.array(*rows)))
+        .where(F.col("total") > 0)
+    )
+
+
+def _doubles(df: DataFrame, label_col: str, feature_cols: Sequence[str]) -> DataFrame:
+    return df.select(
+        column(label_col), *[column(c).cast("double").alias(c) for c in feature_cols]
+    )
+
+
 def _present(df: DataFrame, label_col: str, feature_cols: Sequence[str]) -> DataFrame:
     return to_long(df, [label_col], feature_cols).where(F.col("value").isNotNull())
 
 
-def _quantiles(rows: DataFrame, label_col: str, probabilities: Mapping[str, float]) -> DataFrame:
-    """Histogram first, then a second look at the few buckets that hold the answers.
+def _quantiles(
+    df: DataFrame,
+    label_col: str,
+    feature_cols: Sequence[str],
+    probabilities: Mapping[str, float],
+) -> DataFrame:
+    """Bracket every wanted rank by a sketch, then look closely inside the brackets.
 
-    The histogram has fixed buckets, so rows are combined before the shuffle and only
-    bucket counts travel. Running totals over it tell which buckets hold the wanted
-    ranks. The second pass over the input keeps the rows of those buckets alone and
-    ranks their distinct values.
+    The first pass sketches each feature and class. The second counts the rows outside
+    the brackets and keeps the values inside, some thousandth of the rows, counted per
+    value; all of it is combined before the shuffle. Running totals over the places
+    inside and outside the brackets tell which place holds a wanted rank, and the values
+    of that place are ranked. The totals are exact, so a rank that a sketch has missed
+    is noticed and its brackets are widened until they hold it.
     """
     label = column(label_col)
-    rows = rows.withColumn("bucket", order_bucket(F.col("value")))
-    group = Window.partitionBy(label, "feature")
-    histogram = (
-        rows.groupBy(label, "feature", "bucket")
-        .agg(F.count("*").alias("size"))
-        .withColumn("upto", running_total("size", group, "bucket"))
-        .withColumn("total", F.sum("size").over(group))
-        .withColumn("before", F.col("upto") - F.col("size"))
-    )
-    wanted = F.lit(False)
-    for p in probabilities.values():
-        for rank in _neighbours(p):
-            wanted = wanted | _holds(rank)
-    targets = histogram.where(wanted).select(label, "feature", "bucket", "before", "total")
-
-    keys = [label_col, "feature", "bucket"]
-    bucket = Window.partitionBy(*[column(k) for k in keys])
+    margin = MARGIN
+    while True:
+        sparse = settle(_bracketed(df, label_col, feature_cols, probabilities, margin))
+        group = Window.partitionBy(label, "feature")
+        wanted = F.lit(False)
+        for p in probabilities.values():
+            for rank in _neighbours(p):
+                wanted = wanted | _holds(rank)
+        targets = (
+            sparse.groupBy(label, "feature", "total", "region", "inside", "step")
+            .agg(F.sum("size").alias("size"))
+            .withColumn("upto", running_total("size", group, "region", "inside", "step"))
+            .withColumn("before", F.col("upto") - F.col("size"))
+            .where(wanted)
+        )
+        if margin >= 1 or targets.where(~F.col("inside")).isEmpty():
+            break
+        margin *= 8
+
+    keys = [label_col, "feature", "region", "step"]
+    here = Window.partitionBy(*[column(k) for k in keys])
     ranked = (
-        attach(rows, targets, keys)
-        .groupBy(*[column(k) for k in keys], "before", "total", "value")
-        .agg(F.sum("n").alias("size"))
-        .withColumn("upto", F.col("before") + running_total("size", bucket, "value"))
+        join_null_safe(
+            sparse.where("inside").select(*[column(k) for k in keys], "total", "value", "size"),
+            targets.where("inside").select(*[column(k) for k in keys], "before"),
+            keys,
+        )
+        .withColumn("upto", F.col("before") + running_total("size", here, "value"))
         .withColumn("before", F.col("upto") - F.col("size"))
     )
     picks = []
@@ -130,6 +188,55 @@ def _quantiles(rows: DataFrame, label_col: str, probabilities: Mapping[str, floa
     )
 
 
+def _bracketed(
+    df: DataFrame,
+    label_col: str,
+    feature_cols: Sequence[str],
+    probabilities: Mapping[str, float],
+    margin: float,
+) -> DataFrame:
+    """Row counts per place; inside the brackets also per value.
+
+    Classes of a few thousand rows have their whole range as bracket.
+    """
+    fractions = []
+    for p in sorted(set(probabilities.values())):
+        fractions += [max(p - margin, 0.0), min(p + margin, 1.0)]
+    edges = sketched_edges(df, [label_col], feature_cols, fractions)
+    whole = F.col("total") * F.lit(margin) < 2
+    edges = edges.withColumns(
+        {
+            f"e{j}": F.when(whole, F.col("highest" if j % 2 else "lowest")).otherwise(F.col(f"e{j}"))
+            for j in range(len(fractions))
+        }
+    ).drop("lowest", "highest")
+    rows = attach(
+        _present(df, label_col, feature_cols), settle(edges), [label_col, "feature"]
+    )
+    value = F.col("value")
+    bounds = [F.col(f"e{j}") for j in range(len(fractions))]
+    inside = F.lit(False)
+    for low, high in zip(bounds[::2], bounds[1::2]):
+        inside = inside | ((value >= low) & (value <= high))
+    region, step = place(value, bounds)
+    # Outside rows of a region lie below its inside rows: regions end at an edge, and
+    # edges are inside.
+    return (
+        rows.select(
+            column(label_col),
+            "feature",
+            "total",
+            region.alias("region"),
+            inside.alias("inside"),
+            F.when(inside, step).otherwise(0).alias("step"),
+            F.when(inside, value).alias("value"),
+            "n",
+        )
+        .groupBy(column(label_col), "feature", "total", "region", "inside", "step", "value")
+        .agg(F.sum("n").alias("size"))
+    )
+
+
 def _position(p: float) -> Column:
     return (F.col("total") - 1) * F.lit(float(p))
 
@@ -139,7 +246,7 @@ def _neighbours(p: float) -> tuple[Column, Column]:
 
 
 def _holds(rank: Column) -> Column:
-    """The zero-based rank falls on this row's stretch of equal values or buckets."""
+    """The zero-based rank falls on this row's stretch of equal places or values."""
     return (F.col("before") <= rank) & (rank < F.col("upto"))
 
 

@@ -10,8 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import labelstats as ls
-from labelstats.functions.expressions import order_bucket
-from labelstats.operators import attach
+from labelstats.functions.expressions import place
+from labelstats.operators import attach, quantiles
 from tests.conftest import SENSORS, rows
 
 doubles = st.floats(allow_nan=False, allow_infinity=False)
@@ -62,16 +62,14 @@ def test_value_counts_and_kth(spark):
 # Quantiles
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(doubles, min_size=2, max_size=40))
-def test_order_bucket_never_decreases(spark, values):
-    extremes = [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, math.inf, -math.inf]
-    data = sorted([*values, *extremes])
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(doubles, min_size=2, max_size=40), st.lists(doubles, min_size=2, max_size=5))
+def test_places_never_decrease(spark, values, edges):
+    extremes = [0.0, 5e-324, -5e-324, 1.7976931348623157e308, math.inf, -math.inf]
+    data = [*sorted([*values, *edges, *extremes]), math.nan]
     df = spark.createDataFrame([(v,) for v in data], "v double")
-    buckets = [r[0] for r in df.select(order_bucket(F.col("v"))).collect()]
-    assert buckets == sorted(buckets)
-    nan = spark.createDataFrame([(math.nan,)], "v double").select(order_bucket(F.col("v")))
-    assert nan.first()[0] > buckets[-1]
+    found = df.select(*place(F.col("v"), [F.lit(e) for e in edges])).collect()
+    assert [tuple(r) for r in found] == sorted(tuple(r) for r in found)
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
@@ -124,6 +122,39 @@ def test_hot_value_and_nan_in_quantiles(spark):
     assert math.isnan(found["cold"]["q"])
 
 
+def test_missed_brackets_are_widened(spark, monkeypatch):
+    df = spark.range(40_000).select(
+        F.lit("k").alias("k"), (F.col("id") * 7919 % 40_009).cast("double").alias("v")
+    )
+    values = df.toPandas()["v"]
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 20)
+    monkeypatch.setattr(quantiles, "MARGIN", 0.0001)
+    sizes = []
+    bracketed = quantiles._bracketed
+
+    def spy(*args):
+        sizes.append(args[-1])
+        return bracketed(*args)
+
+    monkeypatch.setattr(quantiles, "_bracketed", spy)
+    found = ls.quantiles_by_class(df, "k", ["v"], {"a": 0.3, "b": 0.31}).first()
+    assert found["a"] == pytest.approx(values.quantile(0.3))
+    assert found["b"] == pytest.approx(values.quantile(0.31))
+    assert len(sizes) > 1
+
+
+def test_only_a_small_share_is_looked_at_closely(spark):
+    df = spark.range(200_000).select(
+        F.lit("k").alias("k"), (1.7e9 + F.rand(3)).alias("v"), F.exp(9 * F.randn(4)).alias("w")
+    )
+    sparse = quantiles._bracketed(df, "k", ["v", "w"], {"q": 0.5}, quantiles.MARGIN)
+    assert sparse.where("inside").count() < 2 * 0.002 * 200_000
+    found = {r["feature"]: r["q"] for r in ls.quantiles_by_class(df, "k", ["v", "w"], {"q": 0.5}).collect()}
+    expected = df.toPandas()[["v", "w"]].median()
+    assert found["v"] == pytest.approx(expected["v"], rel=1e-15)
+    assert found["w"] == pytest.approx(expected["w"])
+
+
 def test_median_matches_pandas_and_approximation(sensors, sensors_pd):
     expected = sensors_pd.groupby("Status")[SENSORS].median()
     exact = ls.median_by_class(sensors, "Status", SENSORS).toPandas().set_index("Status")
