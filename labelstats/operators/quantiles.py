@@ -155,14 +155,14 @@ def _quantiles(
         for p in probabilities.values():
             for rank in _neighbours(p):
                 wanted = wanted | _holds(rank)
-        targets = (
+        places = (
             sparse.groupBy(label, "feature", "total", "region", "inside", "step")
             .agg(F.sum("size").alias("size"))
             .withColumn("upto", running_total("size", group, "region", "inside", "step"))
             .withColumn("before", F.col("upto") - F.col("size"))
-            .where(wanted)
         )
-        if margin >= 1 or targets.where(~F.col("inside")).isEmpty():
+        targets = settle(places.where(wanted))
+        if margin >= 1 or targets.where(~F.col("inside")).count() == 0:
             break
         margin *= 8
 
