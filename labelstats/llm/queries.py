@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import html_text, shards, warc
+from labelstats.llm import bpe, html_text, packing, shards, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +25,22 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op4(table(spark, sf_dir, "pages"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op9(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_html_text,
         op2_shards,
         op4_warc,
+        op6_bpe,
+        op9_packing,
     )
 }
 
