@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, html_text, packing, shards, warc
+from labelstats.llm import bpe, html_text, packing, shards, simhash, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op8(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op9(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Query] = {
         op2_shards,
         op4_warc,
         op6_bpe,
+        op8_simhash,
         op9_packing,
     )
 }
