@@ -50,26 +50,28 @@ def key_remainder(key: Column, divisor: int) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows_per_class: int
 ) -> list[tuple[int, str]]:
-    """Up to ``rows_per_class`` texts of either class among the documents that ``learn``
-    admits, as (label, text). The choice follows a hash of the key, so it is the same on
-    every run; rows without a text, key or label are no examples. Conflicting labels of
-    one key count as its smallest. Only the chosen rows reach the driver."""
+    """Up to ``rows_per_class`` texts of either class among the keys that ``learn`` admits, as
+    (label, text). The keys are chosen by a hash, so the choice is the same on every run. Rows
+    without a text, key or label are no examples; of conflicting labels or texts of one key
+    the smallest counts. The chosen keys are broadcast, and only their texts reach the driver."""
     marks = (
-        labels.where(F.col(label).isin(0, 1))
+        labels.where(F.col(label).isin(0, 1) & learn)
         .groupBy("doc_id")
         .agg(F.min(label).cast("int").alias("label"))
+        .withColumn("place", F.xxhash64("doc_id"))
     )
+    chosen = [
+        marks.where(F.col("label") == value).orderBy("place", "doc_id").limit(rows_per_class)
+        for value in (0, 1)
+    ]
     rows = (
         docs.select("doc_id", "text")
-        .where(F.col("text").isNotNull() & learn)
-        .join(marks, "doc_id")
-        .select("label", "text", F.xxhash64("doc_id").alias("place"), "doc_id")
+        .where(F.col("text").isNotNull())
+        .join(F.broadcast(chosen[0].union(chosen[1]).select("doc_id", "label")), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("label"), F.min("text").alias("text"))
     )
-    chosen = []
-    for value in (0, 1):
-        part = rows.where(F.col("label") == value)
-        chosen += part.orderBy("place", "doc_id", F.md5("text")).limit(rows_per_class).collect()
-    return [(r["label"], r["text"]) for r in chosen]
+    return sorted((r["label"], r["text"]) for r in rows.collect())
 
 
 def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, html_text, packing, shards, simhash, warc
+from labelstats.llm import bpe, html_text, packing, shards, simhash, toxicity, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op4(table(spark, sf_dir, "pages"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Query] = {
         op1_html_text,
         op2_shards,
         op4_warc,
+        op5_toxicity,
         op6_bpe,
         op8_simhash,
         op9_packing,
