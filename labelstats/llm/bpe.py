@@ -33,7 +33,7 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 #: Pieces, and pairs of tokens, that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:
