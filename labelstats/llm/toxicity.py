@@ -36,15 +36,15 @@ from pyspark.sql import functions as F
 from labelstats.llm.common import key_remainder, labelled_sample, small_batches, texts_of
 
 DECAY = 0.7
-LANDMARKS = 64
+LANDMARKS = 96
 #: Labelled texts of either class that the machine is fitted to.
 ROWS_PER_CLASS = 1200
 #: Terms that most clean texts share and that are taken as examples from the start.
 CLEAN_TERMS = 3000
-TURNS = 4
+TURNS = 6
 #: A term tells toxic texts apart if the log odds of some four letters of it come so close to
 #: the highest; so many landmarks may share those letters.
-TELLING = 2.0
+TELLING = 1.8
 ALIKE = 3
 WINDOW = 20
 #: Letters with a code of their own; all other characters are gaps.
@@ -221,7 +221,7 @@ def fit(examples: list[tuple[int, str]]) -> Machine:
     for g, y in zip(groups, labels.tolist()):
         seen[y].update({f for w in g for f in fours(w)})
     odds_of = {
-        f: np.log((n + 0.5) / (sizes[1] + 1)) - np.log((seen[0][f] + 0.5) / (sizes[0] + 1))
+        f: np.log((n + 2) / (sizes[1] + 4)) - np.log((seen[0][f] + 2) / (sizes[0] + 4))
         for f, n in seen[1].items()
     }
     every_word = sorted({w for g in groups for w in g})
@@ -234,8 +234,8 @@ def fit(examples: list[tuple[int, str]]) -> Machine:
     usual = sorted(long_enough(list(clean)), key=lambda w: (-clean[w], w))
     landmarks: list[str] = []
     alike: Counter[str] = Counter()
-    for w in telling:
-        if alike[best[w][1]] < ALIKE and len(landmarks) < LANDMARKS // 2:
+    for w in dict.fromkeys(w.strip(EDGES) for w in telling):
+        if w in best and alike[best[w][1]] < ALIKE and len(landmarks) < LANDMARKS // 2:
             landmarks.append(w)
             alike[best[w][1]] += 1
     landmarks += usual[: LANDMARKS // 2]
