@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, html_text, packing, shards, simhash, toxicity, warc
+from labelstats.llm import bpe, html_text, packing, quality, shards, simhash, toxicity, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op6(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op8(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
         op4_warc,
         op5_toxicity,
         op6_bpe,
+        op7_quality,
         op8_simhash,
         op9_packing,
     )
