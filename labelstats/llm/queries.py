@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, html_text, packing, quality, shards, simhash, toxicity, warc
+from labelstats.llm import bpe, digest, html_text, packing, quality, shards, simhash, toxicity, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op9(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.op10(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
         op7_quality,
         op8_simhash,
         op9_packing,
+        op10_digest,
     )
 }
 
