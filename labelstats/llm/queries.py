@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, digest, html_text, packing, quality, shards, simhash, toxicity, warc
+from labelstats.llm import bpe, digest, html_text, mtree, packing, quality, shards, simhash, toxicity, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.op2(table(spark, sf_dir, "documents"))
 
 
+def op3_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.op3(table(spark, sf_dir, "embeddings"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.op4(table(spark, sf_dir, "pages"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_html_text,
         op2_shards,
+        op3_mtree,
         op4_warc,
         op5_toxicity,
         op6_bpe,
@@ -65,6 +70,25 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES = {
+    "op3_mtree": """
+        WITH v AS (
+            SELECT DISTINCT vec_id,
+                   [floor(256 * c::DOUBLE) FOR c IN embedding] AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM s
+        )
+        WHERE rank <= 5
+    """,
     "op4_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS payload_digest

@@ -64,14 +64,14 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(key, bits): the fingerprint as a signed 64-bit number. A narrow pass."""
-    source = docs.select(key, F.col(text).alias("text"))
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             bits = np.array([fingerprint(t, shingle) for t in texts_of(batch, "text")], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits.view(np.int64))], [key, "bits"])
 
-    kind = source.schema[key].dataType.simpleString()
+    kind = source.schema["key"].dataType.simpleString()
     return source.mapInArrow(run, f"`{key}` {kind}, bits long")
 
 
