@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from labelstats.llm.common import small_batches, texts_of
@@ -301,7 +302,7 @@ def op10(documents: DataFrame) -> DataFrame:
         own = made if head is None else [head, *made]
         other = digests(edited, rank)
         columns = [
-            pa.array(ids[:-1], pa.int64()).cast(key_type),
+            pa.array(ids[:-1], key_type),
             pa.array([len(t) for t in texts[:-1]], pa.int64()),
             pa.array([hashlib.sha256(e).hexdigest() for e in edited]),
             pa.array([d.tobytes().hex() for d in own[:-1]], pa.string()),
@@ -311,7 +312,7 @@ def op10(documents: DataFrame) -> DataFrame:
         ]
         return pa.RecordBatch.from_arrays(columns, names), own[-1]
 
-    key_type = {"int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}.get(kind, pa.int64())
+    key_type = to_arrow_type(documents.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, size, head, current = [], [], 0, None, None

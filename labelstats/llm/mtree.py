@@ -204,7 +204,7 @@ def top_k(
     by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for dim in {len(x) for _, x in seeds}:
         own = [(i, x) for i, x in seeds if len(x) == dim]
-        by_dim[dim] = np.array([i for i, _ in own]), np.array([x for _, x in own], np.int64).reshape(-1, dim)
+        by_dim[dim] = np.array([i for i, _ in own]), np.array([x for _, x in own], np.int64).reshape(len(own), dim)
     shared = rows.sparkSession.sparkContext.broadcast(by_dim)
 
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

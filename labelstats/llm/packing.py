@@ -35,6 +35,7 @@ import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from labelstats.llm.bpe import byte_letters, read_vocabulary
 from labelstats.llm.common import small_batches, texts_of
@@ -253,7 +254,7 @@ def pack(
                 names,
             )
 
-    key_type = pa.string() if kind.simpleString() == "string" else pa.int64()
+    key_type = to_arrow_type(kind)
     return ranged.select("key", "text").mapInArrow(
         run,
         f"`{key}` {kind.simpleString()}, start long, length long, ids binary, doc_tokens long, "

@@ -196,7 +196,7 @@ def fit(table: np.ndarray, examples: list[tuple[int, str]], steps: int = 600) ->
     counts = table[:, -1]
     length = np.linalg.norm(table[:, :-1], axis=1)
     rarity = np.log1p(counts.sum() / np.maximum(counts, 1))
-    vectors = table[:, :-1] / np.maximum(length, 1e-9)[:, None] * (rarity / rarity.max())[:, None]
+    vectors = table[:, :-1] / np.maximum(length, 1e-9)[:, None] * (rarity / max(rarity.max(), 1e-9))[:, None]
     net = Network(vectors.astype(np.float32))
     y = np.array([label for label, _ in examples], float)
     if len(set(y.tolist())) < 2:

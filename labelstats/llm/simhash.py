@@ -206,7 +206,7 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     unnamed = classes.where(F.col("component_id").isNull()).select("bits", "class").distinct()
     texts = bits.join(unnamed, "bits").groupBy("class").agg(F.min(F.struct(F.col("text").isNotNull(), "text")).alias("t"))
     texts = texts.select(F.col("t.text").alias("text_"))
-    return named.unionByName(bare.join(texts, F.col("text").eqNullSafe(F.col("text_")), "left_semi"))
+    return named.unionByName(bare.join(texts, bare["text"].eqNullSafe(texts["text_"]), "left_semi"))
 
 
 def op8(documents: DataFrame) -> DataFrame:
