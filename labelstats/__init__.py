@@ -38,6 +38,7 @@ from labelstats.operators.prepare import (
 )
 from labelstats.operators.quality import PLACEHOLDERS, missing_counts
 from labelstats.operators.quantiles import (
+    RANK_ERROR,
     boxplot_stats,
     median_approx_by_class,
     median_by_class,
@@ -64,6 +65,7 @@ from labelstats.operators.summary import (
 from labelstats.sources.readers import labelled_schema, read_csv, read_table
 
 __all__ = [
+    "RANK_ERROR",
     "PLACEHOLDERS",
     "Prepared",
     "accuracy",

@@ -70,6 +70,14 @@ def place(value: Column, edges: Sequence[Column]) -> tuple[Column, Column]:
     return region, step
 
 
+def rank_place(value: Column, edges: Column) -> Column:
+    """How many of the ascending ``edges`` lie below the value, by way of every 32nd."""
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(32), F.size(edges), F.lit(32)), lambda i: edges[i - 1]), lambda e: e < value))
+    coarse = F.when(F.size(edges) >= 32, coarse).otherwise(0)
+    near = F.slice(edges, coarse * 32 + 1, F.lit(32))
+    return coarse * 32 + F.size(F.filter(near, lambda e: e < value))
+
+
 def running_total(amount: str, group: WindowSpec, *order: str) -> Column:
     """Sum of ``amount`` up to and including the row; ``order`` is unique in a group."""
     return F.sum(amount).over(

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+from contextlib import suppress
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelstats.functions.expressions import column
 
-# A table of at most this many cells (some 16 MB) is broadcast.
-BROADCAST_CELLS = 1_000_000
-# Into how many parts the larger path spreads each group.
-SALTS = 64
+# A table of at most this many bytes, by its own values, is broadcast.
+BROADCAST_BYTES = 16 << 20
+# A group with more than this share of all rows is heavy; there are at most its inverse of them.
+HEAVY_SHARE = 1 / 1000
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a small table once and cut its lineage with a reliable checkpoint.
+    """Compute a table once and cut its lineage with a reliable checkpoint.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only a local session without
-    one gets a folder of its own.
+    The folder is the cluster's ``spark.checkpoint.dir``. A local session without one gets a
+    folder of its own; a cluster without one is refused. What the application has
+    written there is removed when it ends.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -30,30 +36,83 @@ def settle(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="labelstats-checkpoint-")
         context.setCheckpointDir(folder)
+    _remove_at_exit(context)
     return df.checkpoint()
 
 
+def _remove_at_exit(context) -> None:
+    """Remove the application's own folder inside the checkpoint folder at its end."""
+    folder = context.getCheckpointDir()
+    if folder in _TO_REMOVE:
+        return
+    _TO_REMOVE.add(folder)
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def remove() -> None:
+        with suppress(Exception):  # the session may have ended in its own way
+            system.delete(path, True)
+
+    atexit.register(remove)
+
+
+_TO_REMOVE: set[str] = set()
+
+
 def attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Give each row of ``rows`` (the keys and ``value``) the figures of its group.
 
-    ``stats`` has one row per group and has been settled. If it is small it is broadcast
-    and the rows stay where they are. Otherwise equal rows are counted first and every
-    group is spread over ``SALTS`` parts by its value, so that no group, however large,
-    meets its figures in one task. ``n`` tells how many input rows an output row stands
-    for; rows that have it already are taken as counted. Rows of groups without figures
-    fall out.
+    ``stats`` has one row per group, with the group's row count ``total``, and has been
+    settled. If its values take few bytes it is broadcast and the rows stay where they are.
+    Otherwise equal rows are counted first; the figures of heavy groups, a thousand at most,
+    are broadcast, and only the rows of the others are shuffled by their group. ``n`` tells
+    how many input rows an output row stands for; rows that have it already are taken as
+    counted. Rows of groups without figures fall out.
     """
     counted = "n" in rows.columns
-    if stats.count() * len(stats.columns) <= BROADCAST_CELLS:
+    if _bytes(stats) <= BROADCAST_BYTES:
         rows = rows if counted else rows.withColumn("n", F.lit(1))
         return join_null_safe(rows, F.broadcast(stats), keys)
     if not counted:
         rows = rows.groupBy(*[column(k) for k in keys], "value").agg(F.count("*").alias("n"))
-    spread = rows.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(SALTS)))
-    copies = stats.withColumn(
-        "salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    figures = [c for c in stats.columns if c not in keys]
+    limit = stats.agg(F.sum("total")).first()[0] * HEAVY_SHARE
+    packed = stats.select(
+        *[column(k) for k in keys], F.struct(*[column(c) for c in figures]).alias("figures"), "total"
+    )
+    heavy = packed.where(F.col("total") > limit).drop("total").withColumnRenamed("figures", "__heavy")
+    light = packed.where(F.col("total") <= limit).drop("total").withColumnRenamed("figures", "__light")
+    light = light.withColumn("__salt", F.lit(0).cast("bigint"))
+    met = left_join_null_safe(rows, F.broadcast(heavy), keys)
+    # Rows that have their figures are dealt out by value; no light group has their salt.
+    dealt = F.when(F.col("__heavy").isNull(), F.lit(0).cast("bigint")).otherwise(
+        F.xxhash64("value").bitwiseOR(F.lit(1))
     )
-    return join_null_safe(spread, copies, [*keys, "salt"]).drop("salt")
+    met = left_join_null_safe(met.withColumn("__salt", dealt), light, [*keys, "__salt"])
+    met = met.withColumn("figures", F.coalesce("__heavy", "__light")).where(F.col("figures").isNotNull())
+    return met.select(*[column(c) for c in rows.columns], "figures.*")
+
+
+def _bytes(stats: DataFrame) -> int:
+    """The bytes of all values: eight for a number, the length of a text or an array."""
+    sizes = []
+    for f in stats.schema:
+        c = column(f.name)
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)) + 16)
+        elif isinstance(f.dataType, T.ArrayType):
+            sizes.append(F.coalesce(F.size(c), F.lit(0)) * 8 + 24)
+        else:
+            sizes.append(F.lit(8))
+    return stats.agg(F.coalesce(F.sum(reduce(add, sizes)), F.lit(0)).cast("bigint")).first()[0]
+
+
+def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on the keys in which null equals null; the keys appear once."""
+    renamed = {k: f"__{k}" for k in keys}
+    right = right.withColumnsRenamed(renamed)
+    on = [column(k).eqNullSafe(column(r)) for k, r in renamed.items()]
+    return left.join(right, on, "left").drop(*renamed.values())
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -12,16 +12,19 @@ from labelstats.functions.expressions import (
     column,
     finite_or_fail,
     pearson,
-    place,
+    rank_place,
     running_total,
 )
-from labelstats.operators.attach import attach, join_null_safe, settle
+from labelstats.operators.attach import attach, join_null_safe, left_join_null_safe, settle
 from labelstats.operators.quantiles import sketched_edges
-from labelstats.operators.shape import to_long
+from labelstats.operators.shape import to_long, union_frames
 
-# Shares of the rows between which ranks are counted, besides the extremes. Few edges do:
-# between two of them the places are equal steps, and the outer ones hold far values.
-EDGES = (0.001, 0.1, 0.5, 0.9, 0.999)
+# Ranks are counted in places between this many edges at equal ranks.
+PLACES = 2048
+# Values that hold more than this share of the rows are few; their ranks are broadcast.
+HOT_SHARE = 1 / 2048
+# Pairs of columns whose cells are computed in one aggregation.
+PAIRS = 256
 
 
 def correlation(
@@ -58,71 +61,89 @@ def correlation(
 def _matrix(
     data: DataFrame, keys: Sequence[str], cols: Sequence[str], names: Sequence[str]
 ) -> DataFrame:
-    """One aggregation with a cell per pair, mirrored to the full matrix."""
+    """One aggregation with a cell per pair, mirrored to the full matrix.
+
+    Very wide tables take one aggregation for every ``PAIRS`` pairs, to keep plans small.
+    """
     pairs = list(combinations(range(len(names)), 2))
     keyed = [column(k) for k in keys]
-    cells = data.groupBy(*keyed).agg(
-        F.count("*").alias("n"),
-        *[pearson(F.col(names[i]), F.col(names[j])).alias(f"r{i}_{j}") for i, j in pairs],
-    )
-    rows = []
-    for i, x in enumerate(cols):
-        for j, y in enumerate(cols):
-            r = F.lit(1.0) if i == j else F.col(f"r{min(i, j)}_{max(i, j)}")
-            rows.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r")))
-    return cells.where(F.col("n") > 0).select(*keyed, F.inline(F.array(*rows)))
+    parts = []
+    for at in range(0, max(1, len(pairs)), PAIRS):
+        some = pairs[at : at + PAIRS]
+        cells = data.groupBy(*keyed).agg(
+            F.count("*").alias("n"),
+            *[pearson(F.col(names[i]), F.col(names[j])).alias(f"r{i}_{j}") for i, j in some],
+        )
+        rows = [(i, i) for i in range(len(names))] if at == 0 else []
+        rows += [*some, *[(j, i) for i, j in some]]
+        structs = [
+            F.struct(
+                F.lit(cols[i]).alias("x"),
+                F.lit(cols[j]).alias("y"),
+                (F.lit(1.0) if i == j else F.col(f"r{min(i, j)}_{max(i, j)}")).alias("r"),
+            )
+            for i, j in rows
+        ]
+        parts.append(cells.where(F.col("n") > 0).select(*keyed, F.inline(F.array(*structs))))
+    return union_frames(parts)
 
 
 def _as_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Replace every value by its average rank within its column (and class)."""
-    edges = settle(sketched_edges(data, keys, names, EDGES))
+    """Replace every value by its average rank within its column (and class).
+
+    The ranks of hot values are broadcast, those of the others joined by value; rows with a
+    hot value are dealt out by a hash instead of their value.
+    """
+    ranks = settle(_average_ranks(data, keys, names))
+    few = F.col("n") > F.col("total") * HOT_SHARE
+    spread = F.xxhash64(*[F.col(n) for n in names]).bitwiseOR(F.lit(1))
+    keyed = [column(k) for k in keys]
     ranked = data
     for name in names:
-        ranks = _average_ranks(data, keys, name, edges)
-        on = [column(k).eqNullSafe(column(f"__{k}")) for k in keys]
-        ranked = ranked.join(ranks, [F.col(name) == F.col("__value"), *on]).select(
-            *[column(k) for k in keys],
-            *[F.col("__rank").alias(name) if n == name else F.col(n) for n in names],
+        own = ranks.where(F.col("feature") == name)
+        hot = own.where(few).select(*keyed, F.col("value").alias(name), F.col("rank").alias("__hot"))
+        cold = own.where(~few).select(
+            *keyed, F.col("value").alias(name), F.lit(0).cast("bigint").alias("__salt"),
+            F.col("rank").alias("__cold"),
+        )
+        ranked = left_join_null_safe(ranked, F.broadcast(hot), [*keys, name])
+        ranked = ranked.withColumn(
+            "__salt", F.when(F.col("__hot").isNull(), F.lit(0).cast("bigint")).otherwise(spread)
+        )
+        ranked = left_join_null_safe(ranked, cold, [*keys, name, "__salt"]).select(
+            *keyed,
+            *[F.coalesce("__hot", "__cold").alias(n) if n == name else F.col(n) for n in names],
         )
     return ranked
 
 
-def _average_ranks(
-    data: DataFrame, keys: Sequence[str], name: str, edges: DataFrame
-) -> DataFrame:
-    """The average rank of each distinct value of one column.
+def _average_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``(keys, feature, value, n, total, rank)`` of the distinct values of all columns.
 
-    Ranks are running totals of value counts. They are taken inside places that hold a
-    small share of the rows each, and then over the places, so that no column is sorted
-    in one task.
+    One pass counts the values. Their ranks are running totals of the counts, taken inside
+    places that hold about equal shares of the rows, apart from single hot values, and
+    then over the places, so that no column is sorted in one task.
     """
     group = [*keys, "feature"]
-    values = (
-        to_long(data, keys, [name])
-        .groupBy(*[column(k) for k in group], "value")
-        .agg(F.count("*").alias("n"))
+    keyed = [column(k) for k in group]
+    edges = settle(
+        sketched_edges(data, keys, names, [i / PLACES for i in range(1, PLACES)]).select(
+            *keyed, "total", "edges"
+        )
     )
-    bounds = [F.col("lowest"), *[F.col(f"e{j}") for j in range(len(EDGES))], F.col("highest")]
-    region, step = place(F.col("value"), bounds)
-    placed = attach(values, edges.where(F.col("feature") == name), group).select(
-        *[column(k) for k in group], region.alias("region"), step.alias("step"), "value", "n"
+    values = to_long(data, keys, names).groupBy(*keyed, "value").agg(F.count("*").alias("n"))
+    placed = attach(values, edges, group).select(
+        *keyed, rank_place(F.col("value"), F.col("edges")).alias("place"), "value", "n", "total"
     )
-    places = [*group, "region", "step"]
+    places = [*group, "place"]
     starts = (
         placed.groupBy(*[column(k) for k in places])
         .agg(F.sum("n").alias("size"))
-        .withColumn(
-            "upto",
-            running_total(
-                "size", Window.partitionBy(*[column(k) for k in group]), "region", "step"
-            ),
-        )
+        .withColumn("upto", running_total("size", Window.partitionBy(*keyed), "place"))
         .select(*[column(k) for k in places], (F.col("upto") - F.col("size")).alias("start"))
     )
     here = Window.partitionBy(*[column(k) for k in places])
     upto = running_total("n", here, "value")
     return join_null_safe(placed, starts, places).select(
-        *[column(k).alias(f"__{k}") for k in keys],
-        F.col("value").alias("__value"),
-        (F.col("start") + upto - (F.col("n") - 1) / 2.0).alias("__rank"),
+        *keyed, "value", "n", "total", (F.col("start") + upto - (F.col("n") - 1) / 2.0).alias("rank")
     )

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelstats.functions.expressions import column
-from labelstats.operators.shape import to_long
+from labelstats.operators.shape import common_type, to_long, union_frames
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -37,7 +38,15 @@ def mode_by_class(
     the smallest is taken, null last. Rows are combined before the first shuffle, which
     spreads a class over all its distinct values. The second keeps one value per class,
     feature and frequency; a group of N rows has fewer than 2 * sqrt(N) frequencies.
+
+    Integers and decimals are counted as they are and keep their type; beside floats, their
+    modes are given as doubles.
     """
+    exact = [c for c in feature_cols if not isinstance(common_type(df, [c]), T.DoubleType)]
+    other = [c for c in feature_cols if c not in exact]
+    if exact and other and all(isinstance(df.schema[c].dataType, T.NumericType) for c in other):
+        parts = [mode_by_class(df, label_col, cols, ignore_nulls) for cols in (exact, other)]
+        return union_frames([p.withColumn("mode", F.col("mode").cast("double")) for p in parts])
     rows = to_long(df, [label_col], feature_cols)
     if ignore_nulls:
         rows = rows.where(F.col("value").isNotNull())

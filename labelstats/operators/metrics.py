@@ -1,7 +1,8 @@
 """Quality of predictions, from a table with a label and a prediction column.
 
 Every function is one aggregation. ``by`` names columns to report separately, such as
-the model. Ratios with nothing to divide by are null.
+the model. ``weight`` names a column that says how many rows a row stands for, as in the
+result of :func:`confusion_long`. Ratios with nothing to divide by are null.
 """
 
 from __future__ import annotations
@@ -32,20 +33,22 @@ def misclassified(pred: DataFrame) -> DataFrame:
     return pred.where(_wrong())
 
 
-def misclassified_counts(pred: DataFrame, class_col: str = LABEL) -> DataFrame:
+def misclassified_counts(
+    pred: DataFrame, class_col: str = LABEL, by: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Per class, how many rows there are and how many were predicted wrongly."""
-    return pred.groupBy(column(class_col)).agg(
-        F.count_if(_wrong()).alias("misclassified"), F.count("*").alias("total")
+    return _grouped(pred, [*by, class_col]).agg(
+        _count(_wrong(), weight).alias("misclassified"), _count(F.lit(True), weight).alias("total")
     )
 
 
 def confusion(
-    pred: DataFrame, positive_label: float = 1.0, by: Sequence[str] = ()
+    pred: DataFrame, positive_label: float = 1.0, by: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
     """The counts ``tn, fp, fn, tp`` and ``total``; every other label is negative."""
     return _grouped(pred, by).agg(
-        *[count.alias(name) for name, count in _cells(positive_label).items()],
-        F.count("*").alias("total"),
+        *[count.alias(name) for name, count in _cells(positive_label, weight).items()],
+        _count(F.lit(True), weight).alias("total"),
     )
 
 
@@ -62,14 +65,14 @@ def sensitivity_specificity(
 
 
 def compare_models(
-    pred: DataFrame, model_col: str = "model", positive_label: float = 1.0
+    pred: DataFrame, model_col: str = "model", positive_label: float = 1.0, weight: str | None = None
 ) -> DataFrame:
     """One row per model: rows, accuracy, error rate, sensitivity, specificity."""
     return _grouped(pred, [model_col]).agg(
-        F.count("*").alias("total"),
-        _accuracy().alias("accuracy"),
-        _error_rate().alias("error_rate"),
-        *_sensitivity_specificity(positive_label),
+        _count(F.lit(True), weight).alias("total"),
+        _accuracy(weight).alias("accuracy"),
+        _error_rate(weight).alias("error_rate"),
+        *_sensitivity_specificity(positive_label, weight),
     )
 
 
@@ -81,27 +84,33 @@ def _wrong() -> Column:
     return F.col(PREDICTION) != F.col(LABEL)
 
 
-def _accuracy() -> Column:
-    return F.try_divide(F.count_if(~_wrong()), F.count("*"))
+def _count(condition: Column, weight: str | None) -> Column:
+    if weight is None:
+        return F.count_if(condition)
+    return F.coalesce(F.sum(F.when(condition, column(weight))), F.lit(0).cast("bigint"))
+
+
+def _accuracy(weight: str | None = None) -> Column:
+    return F.try_divide(_count(~_wrong(), weight), _count(F.lit(True), weight))
 
 
-def _error_rate() -> Column:
-    return F.try_divide(F.count_if(_wrong()), F.count("*"))
+def _error_rate(weight: str | None = None) -> Column:
+    return F.try_divide(_count(_wrong(), weight), _count(F.lit(True), weight))
 
 
-def _cells(positive_label: float) -> dict[str, Column]:
+def _cells(positive_label: float, weight: str | None = None) -> dict[str, Column]:
     actual = F.col(LABEL) == F.lit(float(positive_label))
     predicted = F.col(PREDICTION) == F.lit(float(positive_label))
     return {
-        "tn": F.count_if(~actual & ~predicted),
-        "fp": F.count_if(~actual & predicted),
-        "fn": F.count_if(actual & ~predicted),
-        "tp": F.count_if(actual & predicted),
+        "tn": _count(~actual & ~predicted, weight),
+        "fp": _count(~actual & predicted, weight),
+        "fn": _count(actual & ~predicted, weight),
+        "tp": _count(actual & predicted, weight),
     }
 
 
-def _sensitivity_specificity(positive_label: float) -> list[Column]:
-    n = _cells(positive_label)
+def _sensitivity_specificity(positive_label: float, weight: str | None = None) -> list[Column]:
+    n = _cells(positive_label, weight)
     return [
         F.try_divide(n["tp"], n["tp"] + n["fn"]).alias("sensitivity"),
         F.try_divide(n["tn"], n["tn"] + n["fp"]).alias("specificity"),

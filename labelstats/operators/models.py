@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from labelstats.functions.expressions import column
 from labelstats.operators.metrics import PREDICTION, accuracy
 from labelstats.operators.prepare import FEATURES, LABEL, SCALED
-from labelstats.operators.shape import union_frames
 
 
 def decision_tree(train: DataFrame, features_col: str = SCALED, **params) -> Model:
@@ -70,20 +69,22 @@ def mlp_sweep(
     seed: int = 1,
     **params,
 ) -> DataFrame:
-    """Fit one perceptron per layer list: ``(cycle, layers, accuracy)`` on the test rows."""
-    cycles = []
-    for cycle, layers in enumerate(layer_lists, start=1):
-        model = mlp(train, layers, features_col, seed, **params)
-        cycles.append(
-            accuracy(score(model, test)).select(
-                F.lit(cycle).alias("cycle"),
-                F.array(*[F.lit(n) for n in layers]).alias("layers"),
-                "accuracy",
-            )
-        )
-    return union_frames(cycles)
+    """Fit one perceptron per layer list: ``(cycle, layers, accuracy)`` on the test rows.
+
+    All of them score the test rows in one pass."""
+    models = {
+        str(cycle): mlp(train, layers, features_col, seed, **params)
+        for cycle, layers in enumerate(layer_lists, start=1)
+    }
+    cycle = F.col("model").cast("int")
+    lists = F.array(*[F.array(*[F.lit(n) for n in layers]) for layers in layer_lists])
+    return accuracy(score_models(models, test), by=["model"]).select(
+        cycle.alias("cycle"), lists[cycle - 1].alias("layers"), "accuracy"
+    )
 
 
 def _fit(estimator, train: DataFrame) -> Model:
-    """Fit on the two columns the estimator reads."""
+    """Fit on a kept frame as it is, else on the two columns the estimator reads."""
+    if train.storageLevel.useMemory or train.storageLevel.useDisk:
+        return estimator.fit(train)
     return estimator.fit(train.select(estimator.getLabelCol(), estimator.getFeaturesCol()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -86,30 +87,33 @@ def fit_preparation(
     """The same model that fitting ``prep_stages`` gives, from one pass of aggregates.
 
     Class frequencies and standard deviations come out of the same scan, on the plain
-    columns; the pipeline would scan once per stage, the second time over vectors. Only
-    one row per class and a total reach the driver, as in any fit.
+    columns; the pipeline would scan once per stage, the second time over vectors. One row
+    per class reaches the driver, as in Spark's own indexer: a label column of many
+    different values brings them all.
     """
     if handle_invalid not in ("error", "skip"):
         raise ValueError("handle_invalid must be 'error' or 'skip'")
     if handle_invalid == "skip":
         for c in feature_cols:
             df = df.where(column(c).isNotNull() & ~F.isnan(column(c).cast("double")))
-    spreads = [F.stddev_samp(column(c)).alias(f"s{i}") for i, c in enumerate(feature_cols)]
-    if label_order is None:
-        figures = (
-            df.withColumn("class", column(label_col).cast("string"))
-            .rollup("class")
-            .agg(F.grouping("class").alias("is_total"), F.count("*").alias("n"), *spreads)
-            .orderBy(F.desc("is_total"), F.desc("n"), "class")
-            .collect()
-        )
-        total = figures[0] if figures else None
-        order = [r["class"] for r in figures[1:] if r["class"] is not None]
-    else:
-        total = df.agg(*spreads).first()
-        order = list(label_order)
-    if total is None or not order:
+    # Count, mean and squared deviations per class add up to those of the table.
+    moments = []
+    for i, c in enumerate(feature_cols):
+        moments += [
+            F.count(column(c)).alias(f"n{i}"),
+            F.avg(column(c)).cast("double").alias(f"mean{i}"),
+            (F.var_pop(column(c)) * F.count(column(c))).alias(f"square{i}"),
+        ]
+    figures = (
+        df.groupBy(column(label_col).cast("string").alias("class"))
+        .agg(F.count("*").alias("n"), *moments)
+        .orderBy(F.desc("n"), "class")
+        .collect()
+    )
+    order = list(label_order) if label_order is not None else [r["class"] for r in figures if r["class"] is not None]
+    if not figures or not order:
         raise ValueError("no rows to fit the preparation on")
+    total = {f"s{i}": _deviation(figures, i) for i in range(len(feature_cols))}
     factors = [1.0 / s if (s := total[f"s{i}"]) else 0.0 for i in range(len(feature_cols))]
     return PipelineModel(
         stages=[
@@ -122,6 +126,16 @@ def fit_preparation(
     )
 
 
+def _deviation(figures: Sequence, i: int) -> float | None:
+    """Sample standard deviation of a feature over all classes."""
+    parts = [(r[f"n{i}"], r[f"mean{i}"], r[f"square{i}"]) for r in figures if r[f"n{i}"]]
+    n = sum(p[0] for p in parts)
+    if n < 2:
+        return None
+    mean = sum(p[0] * p[1] for p in parts) / n
+    return math.sqrt(sum(p[2] + p[0] * (p[1] - mean) ** 2 for p in parts) / (n - 1))
+
+
 def with_split(
     df: DataFrame,
     keys: Sequence[str],
@@ -179,6 +193,7 @@ class Prepared:
     test: DataFrame
     features: list[str]
     model: PipelineModel
+    rows: DataFrame | None = None  # both parts in one frame, told apart by ``split``
 
     @property
     def labels(self) -> list[str]:
@@ -186,13 +201,20 @@ class Prepared:
         return list(self.model.stages[0].labels)
 
     @contextmanager
-    def kept(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[Prepared]:
-        """Keep the columns that training reads in memory, with disk behind it.
-
-        All models and iterations inside the ``with`` block share them. Rows that come in
-        fewer partitions than there are cores, as from one large file, are spread first.
+    def kept(
+        self,
+        features_col: str = SCALED,
+        partitions: int | None = None,
+        level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    ) -> Iterator[Prepared]:
+        """Keep the label and the one vector that training reads in memory, with disk behind it.
+
+        All models and iterations inside the ``with`` block share them. ``partitions`` spreads
+        rows that come in fewer partitions than there are cores, as from one large file; fits
+        that must repeat exactly state it.
         """
-        train = _spread(self.train.select(LABEL, FEATURES, SCALED)).persist(level)
+        train = self.train.select(LABEL, features_col)
+        train = (train if partitions is None else train.repartition(partitions)).persist(level)
         try:
             yield replace(self, train=train)
         finally:
@@ -219,16 +241,20 @@ def prepare(
         raise ValueError("fit_on must be 'train' or 'all'")
     if len(weights) != 2:
         raise ValueError("prepare needs a train and a test weight")
-    train, test = hash_split(df, keys, weights, seed) if keys else random_split(df, weights, seed)
+    if not keys:
+        train, test = random_split(df, weights, seed)
+        model = fit_preparation(
+            df if fit_on == "all" else train, label_col, feature_cols, label_order, handle_invalid
+        )
+        return Prepared(model.transform(train), model.transform(test), list(feature_cols), model)
+    tagged = with_split(df, keys, weights, seed)
+    train = tagged.where(F.col("split") == "train")
     model = fit_preparation(
         df if fit_on == "all" else train, label_col, feature_cols, label_order, handle_invalid
     )
-    return Prepared(model.transform(train), model.transform(test), list(feature_cols), model)
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    rows = model.transform(tagged)
+    train, test = (rows.where(F.col("split") == name).drop("split") for name in ("train", "test"))
+    return Prepared(train, test, list(feature_cols), model, rows)
 
 
 def _edges(weights: Sequence[float]) -> list[float]:

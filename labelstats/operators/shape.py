@@ -53,16 +53,18 @@ def to_long(
 ) -> DataFrame:
     """One row per input row and feature: the keys, the feature's name and its value.
 
-    Integer and decimal features become double, so that one column can hold them all.
+    Numbers take the type that holds them all: bigint for integers, decimal where there are
+    decimals too, double as soon as one feature is a float.
     """
     clash = {name_col, value_col} & set(keys)
     if clash:
         raise ValueError(f"key columns {sorted(clash)} collide with the output columns")
     numeric = set(numeric_features(df))
+    common = common_type(df, [c for c in feature_cols if c in numeric])
     picked = df.select(
         *[column(k) for k in keys],
         *[
-            (column(c).cast("double") if c in numeric else column(c)).alias(c)
+            (column(c).cast(common) if c in numeric else column(c)).alias(c)
             for c in feature_cols
             if c not in keys
         ],
@@ -72,6 +74,19 @@ def to_long(
     )
 
 
+def common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
+    """The narrowest of bigint, decimal and double that fits all the numeric columns."""
+    types = [df.schema[c].dataType for c in cols]
+    if types and all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    if types and all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in types)
+        whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else 19 for t in types)
+        if whole + scale <= 38:
+            return T.DecimalType(38, scale)
+    return T.DoubleType()
+
+
 def to_wide(
     df: DataFrame,
     keys: Sequence[str],

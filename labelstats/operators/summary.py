@@ -31,9 +31,11 @@ def class_counts(df: DataFrame, label_col: str) -> DataFrame:
 def class_stat(
     df: DataFrame, label_col: str, feature_cols: Sequence[str], statistic: str
 ) -> DataFrame:
-    """One row per class with one of Mean, Min, Max, Var (sample) of every feature."""
+    """One row per class with one of Mean, Min, Max, Var (sample) of every feature.
+
+    Minimum and maximum keep the type of their column."""
     return df.groupBy(column(label_col)).agg(
-        *[_figure(statistic, c).alias(c) for c in feature_cols]
+        *[_ONE_PASS[statistic](column(c)).alias(c) for c in feature_cols]
     )
 
 
@@ -58,6 +60,7 @@ def class_summary(
         parts.append(_stacked(df, [label_col], feature_cols, one_pass))
     if "Mode" in statistics:
         modes = mode_by_class(df, label_col, feature_cols, ignore_null_modes)
+        modes = modes.withColumn("mode", F.col("mode").cast("double"))
         parts.append(_tagged(to_wide(modes, [label_col], feature_cols, value_col="mode"), "Mode"))
     if "Median" in statistics:
         parts.append(_tagged(median_by_class(df, label_col, feature_cols), "Median"))
@@ -83,6 +86,7 @@ def table_min_max(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
 
 
 def _figure(statistic: str, name: str) -> Column:
+    """A figure among others of other types."""
     return _ONE_PASS[statistic](column(name)).cast("double")
 
 

@@ -115,31 +115,54 @@ def class_variance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _with_high_tax(spark: SparkSession, folder: str) -> DataFrame:
-    return lineitem(spark, folder).select(
-        LABEL,
-        "l_quantity",
-        "l_discount",
-        F.when(F.col("l_tax") >= 0.04, F.col("l_tax")).alias("high_tax"),
-    )
+    high = F.when(F.col("l_tax") >= 0.04, F.col("l_tax")).alias("high_tax")
+    return lineitem(spark, folder).select(LABEL, *FEATURES, high)
 
 
 def class_mode(spark: SparkSession, folder: str) -> DataFrame:
-    cols = ["l_quantity", "l_discount", "high_tax"]
+    cols = [*FEATURES, "high_tax"]
     return rounded(ls.mode_by_class(_with_high_tax(spark, folder), LABEL, cols))
 
 
 def class_mode_ignore_nulls(spark: SparkSession, folder: str) -> DataFrame:
-    cols = ["l_quantity", "l_discount", "high_tax"]
+    cols = [*FEATURES, "high_tax"]
     return rounded(
         ls.mode_by_class(_with_high_tax(spark, folder), LABEL, cols, ignore_nulls=True)
     )
 
 
 def class_median_approx(spark: SparkSession, folder: str) -> DataFrame:
-    # Ranks are off by less than one in classes of up to 100,000 rows.
-    return rounded(
-        ls.median_approx_by_class(lineitem(spark, folder), LABEL, FEATURES, accuracy=100_000)
+    """Whether the rank of each approximate median is as near to the middle as promised."""
+    rows = lineitem(spark, folder).select(LABEL, *FEATURES)
+    found = ls.median_approx_by_class(rows, LABEL, FEATURES)
+    medians = ls.to_long(found, [LABEL], FEATURES, value_col="median")
+    # One row per class and feature.
+    placed = ls.to_long(rows, [LABEL], FEATURES).join(F.broadcast(medians), [LABEL, "feature"])
+    below = F.count_if(F.col("value") < F.col("median"))
+    upto = F.count_if(F.col("value") <= F.col("median"))
+    slack = F.count("*") * ls.RANK_ERROR + 1
+    near = (below <= F.count("*") / 2 + slack) & (upto >= F.count("*") / 2 - slack)
+    return placed.groupBy(LABEL, "feature").agg(
+        F.count("*").alias("total"), (near & (upto > below)).alias("within")
+    )
+
+
+def exact_integers(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of integers that doubles cannot hold."""
+    rows = lineitem(spark, folder).select(
+        LABEL, (F.col("l_orderkey") % 7 + 9007199254740992).alias("large")
+    )
+    sums = lineitem(spark, folder).select(
+        LABEL, (F.col("l_orderkey") % 7 * 1_000_000_000_001 + F.col("l_linenumber")).alias("large")
     )
+    parts = {
+        "Min": ls.class_stat(rows, LABEL, ["large"], "Min"),
+        "Max": ls.class_stat(rows, LABEL, ["large"], "Max"),
+        "Mode": ls.mode_by_class(rows, LABEL, ["large"]).select(LABEL, F.col("mode").alias("large")),
+        "Sum": ls.keyed_sum_long(sums, LABEL, ["large"]).select(LABEL, F.col("value").alias("large")),
+        "Wide sum": ls.keyed_sum_wide(sums, LABEL, ["large"]),
+    }
+    return ls.union_frames([p.withColumn("Summary", F.lit(name)) for name, p in parts.items()])
 
 
 def class_median(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,10 +181,10 @@ def class_summary_with_median(spark: SparkSession, folder: str) -> DataFrame:
 
 def boxplot_stats(spark: SparkSession, folder: str) -> DataFrame:
     rows = lineitem(spark, folder).select(
-        LABEL, "l_quantity", (F.col("l_extendedprice") * F.col("l_discount")).alias("rebate")
+        LABEL, *FEATURES, (F.col("l_extendedprice") * F.col("l_discount")).alias("rebate")
     )
     # A quarter of a product with four decimals has six.
-    return rounded(ls.boxplot_stats(rows, LABEL, ["l_quantity", "rebate"]), 6)
+    return rounded(ls.boxplot_stats(rows, LABEL, [*FEATURES, "rebate"]), 6)
 
 
 # Frequencies
@@ -191,13 +214,11 @@ def correlation_all(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def correlation_spearman(spark: SparkSession, folder: str) -> DataFrame:
-    cols = ["l_quantity", "l_extendedprice", "l_discount"]
-    return rounded(ls.correlation(lineitem(spark, folder), cols, method="spearman"), 6)
+    return rounded(ls.correlation(lineitem(spark, folder), FEATURES, method="spearman"), 6)
 
 
 def class_correlation_spearman(spark: SparkSession, folder: str) -> DataFrame:
-    cols = ["l_quantity", "l_extendedprice"]
-    return rounded(ls.correlation(lineitem(spark, folder), cols, "spearman", by=LABEL), 6)
+    return rounded(ls.correlation(lineitem(spark, folder), FEATURES, "spearman", by=LABEL), 6)
 
 
 # Keys and whole tables
@@ -267,6 +288,7 @@ QUERIES = {
         class_mode,
         class_mode_ignore_nulls,
         class_median_approx,
+        exact_integers,
         class_median,
         boxplot_stats,
         missing_null_nan,
@@ -334,7 +356,7 @@ def _mode_wide_sql() -> str:
 
 
 _HIGH_TAX = (
-    "(SELECT l_linestatus, l_quantity, l_discount, "
+    f"(SELECT l_linestatus, {', '.join(FEATURES)}, "
     "CASE WHEN l_tax >= 0.04 THEN l_tax END AS high_tax FROM lineitem)"
 )
 
@@ -343,7 +365,7 @@ def _mode_long_sql(skip_nulls: bool) -> str:
     return " UNION ALL ".join(
         f"SELECT l_linestatus, '{c}' AS feature, round(v, 4) AS mode FROM "
         f"({_mode_sql(_HIGH_TAX, LABEL, c, f'{c} IS NOT NULL' if skip_nulls else 'true')})"
-        for c in ("l_quantity", "l_discount", "high_tax")
+        for c in [*FEATURES, "high_tax"]
     )
 
 
@@ -371,9 +393,8 @@ def _boxplot_sql() -> str:
               FROM lineitem GROUP BY l_linestatus) AS q USING (l_linestatus)
         GROUP BY t.l_linestatus"""
 
-    return one("l_quantity", "l_quantity") + " UNION ALL " + one(
-        "rebate", "l_extendedprice * l_discount"
-    )
+    parts = [(c, c) for c in FEATURES] + [("rebate", "l_extendedprice * l_discount")]
+    return " UNION ALL ".join(one(name, expr) for name, expr in parts)
 
 
 def _corr_sql(cols, source: str = "lineitem", by: bool = False) -> str:
@@ -438,10 +459,25 @@ ORACLES = {
     "class_variance": _class_stat_sql("var_samp"),
     "class_mode": _mode_long_sql(skip_nulls=False),
     "class_mode_ignore_nulls": _mode_long_sql(skip_nulls=True),
-    "class_median_approx": (
-        f"SELECT l_linestatus, {_each('round(quantile_disc({c}, 0.5), 4) AS {c}')} "
-        "FROM lineitem GROUP BY l_linestatus"
+    "class_median_approx": " UNION ALL ".join(
+        f"SELECT l_linestatus, '{c}' AS feature, CAST(count({c}) AS BIGINT) AS total, "
+        "true AS within FROM lineitem GROUP BY l_linestatus"
+        for c in FEATURES
     ),
+    "exact_integers": f"""
+        WITH large AS (SELECT l_linestatus, l_orderkey % 7 + 9007199254740992 AS large FROM lineitem),
+        sums AS (
+            SELECT l_linestatus, CAST(sum(l_orderkey % 7 * 1000000000001 + l_linenumber) AS BIGINT) AS large
+            FROM lineitem GROUP BY l_linestatus)
+        SELECT l_linestatus, min(large) AS large, 'Min' AS "Summary" FROM large GROUP BY l_linestatus
+        UNION ALL
+        SELECT l_linestatus, max(large), 'Max' FROM large GROUP BY l_linestatus
+        UNION ALL
+        SELECT l_linestatus, v, 'Mode' FROM ({_mode_sql("large", LABEL, "large")})
+        UNION ALL
+        SELECT l_linestatus, large, 'Sum' FROM sums
+        UNION ALL
+        SELECT l_linestatus, large, 'Wide sum' FROM sums""",
     "class_median": _class_stat_sql("median"),
     "boxplot_stats": _boxplot_sql(),
     "missing_null_nan": """
@@ -492,8 +528,8 @@ ORACLES = {
         GROUP BY l_extendedprice ORDER BY count(*) DESC, l_extendedprice LIMIT 1""",
     "class_correlation": _corr_sql(FEATURES, by=True),
     "correlation_all": _corr_sql(FEATURES),
-    "correlation_spearman": _ranks_sql(["l_quantity", "l_extendedprice", "l_discount"], by=False),
-    "class_correlation_spearman": _ranks_sql(["l_quantity", "l_extendedprice"], by=True),
+    "correlation_spearman": _ranks_sql(FEATURES, by=False),
+    "class_correlation_spearman": _ranks_sql(FEATURES, by=True),
     "row_max_lexicographic": f"SELECT {_ROW} FROM lineitem ORDER BY {_ROW_DESC} LIMIT 1",
     "row_min_lexicographic": f"SELECT {_ROW} FROM lineitem ORDER BY {_ROW} LIMIT 1",
     "table_min_max": (

@@ -5,15 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from labelstats.functions.expressions import column
+from labelstats.operators.attach import settle
 from labelstats.operators.correlation import correlation
 from labelstats.operators.keyed import keyed_mean
-from labelstats.operators.metrics import compare_models, confusion, misclassified_counts
+from labelstats.operators.metrics import (
+    compare_models,
+    confusion,
+    confusion_long,
+    misclassified_counts,
+)
 from labelstats.operators.models import decision_tree, linear_svc, mlp, score_models
 from labelstats.operators.prepare import Prepared, prepare
-from labelstats.operators.quality import PLACEHOLDERS, missing_counts
+from labelstats.operators.quality import PLACEHOLDERS, missing_columns
 from labelstats.operators.quantiles import boxplot_stats
-from labelstats.operators.shape import numeric_features
+from labelstats.operators.shape import numeric_features, to_wide
 from labelstats.operators.summary import DEFAULT_STATISTICS, class_summary, table_summary
 
 
@@ -22,15 +30,31 @@ def describe(
 ) -> dict[str, DataFrame]:
     """Audit, summary per class, box-plot figures and correlation per class."""
     cols = list(feature_cols or numeric_features(df, [label_col]))
+    cells = correlation(df, cols, by=label_col, handle_invalid="skip")
+    # Both audits are one pass: the row of counts is computed once.
+    audit = settle(_audit(df))
     return {
-        "missing": missing_counts(df),
-        "missing_placeholders": missing_counts(df, PLACEHOLDERS),
+        "missing": audit.where("__kind = 'null'").drop("__kind"),
+        "missing_placeholders": audit.where("__kind = 'placeholder'").drop("__kind"),
         "summary": class_summary(df, label_col, cols, [*DEFAULT_STATISTICS, "Median"]),
         "boxplot": boxplot_stats(df, label_col, cols),
-        "correlation": correlation(df, cols, by=label_col, handle_invalid="skip"),
+        "correlation": to_wide(cells, [label_col, "x"], cols, "y", "r").orderBy(
+            column(label_col), F.array_position(F.array(*[F.lit(c) for c in cols]), F.col("x"))
+        ),
     }
 
 
+def _audit(df: DataFrame) -> DataFrame:
+    """Counts of missing values and of placeholders, a row each, from one scan."""
+    kinds = {"null": missing_columns(df), "placeholder": missing_columns(df, PLACEHOLDERS)}
+    counts = [c.alias(f"{kind}:{name}") for kind, cols in kinds.items() for name, c in cols.items()]
+    rows = [
+        F.struct(F.lit(kind).alias("__kind"), *[column(f"{kind}:{name}").alias(name) for name in cols])
+        for kind, cols in kinds.items()
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 def judge(
     df: DataFrame,
     label_col: str,
@@ -49,13 +73,14 @@ def judge(
     cols = list(feature_cols or numeric_features(df, [label_col]))
     prepared = prepare(df, label_col, cols, keys or cols, seed=seed, label_order=label_order)
     predictions = predict_all(prepared, hidden, seed, mlp_params, keep=[label_col])
+    # All figures come from the rows per model, class, label and prediction.
+    counts = settle(confusion_long(predictions, by=["model", label_col]))
+    weighted = {"weight": "row_count"}
     return {
         "predictions": predictions,
-        "comparison": compare_models(predictions),
-        "confusion": confusion(predictions, by=["model"]),
-        "misclassified": misclassified_counts(
-            predictions.where(predictions["model"] == "mlp"), label_col
-        ),
+        "comparison": compare_models(counts, **weighted),
+        "confusion": confusion(counts, by=["model"], **weighted),
+        "misclassified": misclassified_counts(counts, label_col, by=["model"], **weighted),
     }
 
 

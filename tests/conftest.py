@@ -6,12 +6,11 @@ import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-SENSORS = (
-    [f"Power_range_sensor_{i}" for i in range(1, 5)]
-    + [f"Pressure _sensor_{i}" for i in range(1, 5)]
-    + [f"Vibration_sensor_{i}" for i in range(1, 4)]
-    + ["Vibration_sensor4"]
-)
+# Twelve features: some names hold a space, and one ends unlike the others.
+SENSORS = [
+    "flow_1", "flow_2", "flow_3", "flow_4", "head _1", "head _2", "head _3", "head _4",
+    "shaft_1", "shaft_2", "shaft_3", "shaft4",
+]
 
 
 @pytest.fixture(scope="session")

@@ -9,6 +9,9 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import functions as F
 
 import labelstats as ls
+from labelstats.functions.expressions import rank_place
+from labelstats.operators.correlation import PLACES
+from labelstats.operators.quantiles import sketched_edges
 from tests.conftest import SENSORS
 
 
@@ -54,6 +57,30 @@ def test_spearman_with_ties_and_a_hot_value(spark):
     assert found == pytest.approx(df.toPandas().corr("spearman").loc["a", "b"], abs=1e-12)
 
 
+def test_ranks_of_heavy_tails_are_counted_in_even_places(spark):
+    df = spark.range(100_000).select(
+        F.exp(9 * F.randn(4)).alias("a"),
+        F.when(F.col("id") % 10 < 4, 0.0).otherwise(F.exp(9 * F.randn(5))).alias("b"),
+    ).cache()
+    edges = sketched_edges(df, [], ["a", "b"], [i / PLACES for i in range(1, PLACES)])
+    placed = df.crossJoin(F.broadcast(edges.where("feature = 'a'"))).select(
+        rank_place(F.col("a"), F.col("edges")).alias("place")
+    )
+    assert placed.groupBy("place").count().agg(F.max("count")).first()[0] < 0.004 * 100_000
+    found = cells(ls.correlation(df, ["a", "b"], "spearman"))["a", "b"]
+    assert found == pytest.approx(df.toPandas().corr("spearman").loc["a", "b"], abs=1e-12)
+    df.unpersist()
+
+
+def test_rank_place_counts_the_edges_below(spark):
+    edges = [1.0, 2.0, 2.0, 5.0] + [6.0 + i for i in range(96)]
+    df = spark.createDataFrame([(v,) for v in (0.0, 1.0, 1.5, 2.0, 3.0, 37.0, 37.5, 101.0, 999.0)], "v double")
+    lists = F.array(*[F.lit(e) for e in edges])
+    for n in (0, 3, 31, 32, 33, 64, 100):
+        got = df.select("v", rank_place(F.col("v"), F.slice(lists, 1, F.lit(n))).alias("p")).collect()
+        assert [r["p"] for r in got] == [sum(e < r["v"] for e in edges[:n]) for r in got]
+
+
 def test_constant_column_is_nan(constant):
     found = cells(ls.correlation(constant, ["a", "b", "c"]))
     assert found["a", "c"] == pytest.approx(0.188982, abs=1e-6)

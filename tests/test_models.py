@@ -139,8 +139,9 @@ def test_separable_classes_are_found_by_every_model(prepared):
             "tree": ls.decision_tree(data.train),
             "svc": ls.linear_svc(data.train),
             "mlp": ls.mlp(data.train, [12, 15, 15, 2]),
-            "raw mlp": ls.mlp(data.train, [12, 13, 13, 2], features_col="features"),
         }
+    with prepared.kept("features") as data:
+        models["raw mlp"] = ls.mlp(data.train, [12, 13, 13, 2], features_col="features")
     scores = ls.score_models(models, prepared.test, keep=["Status"])
     assert scores.columns == ["Status", "label", "model", "prediction"]
     total = prepared.test.count()
@@ -177,8 +178,21 @@ def test_layer_sweep(prepared):
 
 def test_kept_rows_are_spread_and_released(spark, separable):
     single = ls.prepare(separable.coalesce(1), "Status", SENSORS, SENSORS)
-    with single.kept() as data:
-        assert data.train.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-        assert data.train.is_cached
+    with single.kept(partitions=5) as data:
+        assert data.train.rdd.getNumPartitions() == 5
+        assert data.train.is_cached and data.train.columns == ["label", "scaledFeatures"]
         assert data.train.count() == single.train.count()
+        before = len(spark.sparkContext._jsc.getPersistentRDDs())
+        ls.decision_tree(data.train)
+        # The fit has read the kept frame and left no copy of it.
+        assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
     assert not data.train.is_cached
+    with single.kept() as data:
+        assert data.train.rdd.getNumPartitions() == 1
+
+
+def test_both_parts_come_from_one_frame(sensors):
+    data = ls.prepare(sensors, "Status", SENSORS, SENSORS)
+    sizes = {r["split"]: r["count"] for r in data.rows.groupBy("split").count().collect()}
+    assert sizes == {"train": data.train.count(), "test": data.test.count()}
+    assert "split" not in data.train.columns

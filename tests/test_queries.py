@@ -13,6 +13,10 @@ import pytest
 import __spark_entry__ as entry_point
 import labelstats as ls
 
+MODELS = {
+    "decision_tree", "linear_svc", "mlp", "mlp_raw_features", "mlp_sweep",
+    "model_comparison_separable", "train_vs_test_accuracy", "prepared_split",
+}
 FOLDER = os.environ.get("LABELSTATS_TABLES", "/root/testdata/sf0.001")
 QUERIES = entry_point.queries()
 ORACLES = entry_point.oracle_sql()
@@ -36,7 +40,7 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     return df.where(df.notna(), None)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) & set(QUERIES)))
 def test_query_equals_sql(spark, tables, name):
     found = QUERIES[name](spark, FOLDER).toPandas()
     expected = tables.execute(ORACLES[name]).df()
@@ -45,11 +49,9 @@ def test_query_equals_sql(spark, tables, name):
     pd.testing.assert_frame_equal(normal(found), normal(expected), check_exact=True)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_query_without_sql_gives_rows(spark, name):
-    found = QUERIES[name](spark, FOLDER).toPandas()
-    assert len(found) > 0
-    assert found["accuracy"].between(0, 1).all()
+def test_only_queries_beyond_sql_have_no_oracle():
+    # Those of the training-data part are held against brute force in tests of their own.
+    assert all(re.match(r"op\d+_|pipeline", name) for name in set(QUERIES) - set(ORACLES))
 
 
 def test_every_oracle_has_a_query():
@@ -71,7 +73,7 @@ def plan(df) -> str:
 
 def test_no_python_in_any_plan(spark):
     for name in ORACLES:
-        if name in ("model_comparison_separable", "prepared_split"):
+        if re.match(r"op\d+_|pipeline", name) or name in MODELS:
             continue
         text = plan(QUERIES[name](spark, FOLDER))
         assert not re.search(r"Python|BatchEval|ArrowEval", text), name

@@ -39,23 +39,37 @@ def test_report(spark, csv):
     tables = describe(df, "Status")
     assert tables["summary"].count() == 12
     assert tables["boxplot"].count() == 24
-    assert tables["correlation"].count() == 2 * 144
+    matrix = tables["correlation"].collect()
+    assert len(matrix) == 2 * 12 and tables["correlation"].columns == ["Status", "x", *SENSORS]
+    assert [r["x"] for r in matrix[:12]] == SENSORS
     assert set(tables["missing_placeholders"].first()) == {0}
     judged = judge(df, "Status", label_order=["Abnormal", "Normal"], mlp_params={"maxIter": 30})
     comparison = {r["model"]: r for r in judged["comparison"].collect()}
     assert set(comparison) == {"mlp", "decision_tree", "linear_svc"}
     assert comparison["decision_tree"]["accuracy"] == 1.0
     assert judged["confusion"].count() == 3
+    wrong = judged["misclassified"].collect()
+    assert len(wrong) == 6 and sum(r["total"] for r in wrong) == judged["predictions"].count()
     big = reduce_table(df, "Status")
     assert {r["Summary"] for r in big["table"].collect()} == {"Mean", "Min", "Max"}
     assert big["means"].count() == 2
 
 
 def test_command_line(csv, capsys):
-    main([csv, csv, "--order", "Abnormal,Normal"])
-    out = capsys.readouterr().out
-    for name in ("missing", "summary", "boxplot", "correlation", "comparison", "means"):
-        assert f"{name}\n" in out
+    main([csv, csv, "--label", "Status", "--order", "Abnormal,Normal"])
+    lines = capsys.readouterr().out.splitlines()
+    sizes, name = {}, None
+    for line in lines:
+        if "\t" in line:
+            sizes[name] = sizes.get(name, -1) + 1  # the first line names the columns
+        else:
+            name = line
+    expected = {
+        "missing": 1, "missing_placeholders": 1, "summary": 12, "boxplot": 24, "correlation": 24,
+        "comparison": 3, "confusion": 3, "misclassified": 6, "table": 3, "means": 2,
+    }
+    assert {k: sizes[k] for k in expected} == expected
+    assert sizes["predictions"] == 3 * (sizes["predictions"] // 3) > 20
 
 
 class _Context:
