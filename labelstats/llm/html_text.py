@@ -62,13 +62,13 @@ NOT_TEXT_ROLE = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "toolbar form".split()
 )
+COMMENT_WORD = frozenset("comment comments commentlist disqus respond replies".split())
 NOT_TEXT_WORD = frozenset(
     "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored sponsors "
     "promo promoted promotion cookie cookies consent gdpr notice popup modal overlay newsletter "
     "subscribe subscription signup sidebar menu menus nav navbar navigation breadcrumb "
-    "breadcrumbs pagination pager footer masthead comment comments commentlist disqus respond "
-    "replies share sharing social related recommended recommendations widget widgets toolbar "
-    "skip login banner".split()
+    "breadcrumbs pagination pager footer masthead share sharing social related recommended "
+    "recommendations toolbar skip login banner".split()
 )
 
 
@@ -78,40 +78,50 @@ class Page:
     def __init__(self) -> None:
         self.name = ["#page"]
         self.parent = [-1]
-        self.dropped = [False]
+        self.dropped: list[int] = [PLAIN]
         self.pieces: list[tuple[int, int, str]] = []  # node, block, text
 
-    def add(self, name: str, parent: int, dropped: bool) -> int:
+    def add(self, name: str, parent: int, dropped: int) -> int:
         self.name.append(name)
         self.parent.append(parent)
         self.dropped.append(dropped)
         return len(self.name) - 1
 
 
-def marked_as_other(name: str, attributes: str) -> bool:
+#: How surely an element is not article text: not marked, by a word that may mean something
+#: else where the element holds most of the page, or surely.
+PLAIN, WORDED, SURE = 0, 1, 2
+
+
+def marked_as_other(name: str, attributes: str) -> int:
     """Whether names or attributes say that the element is not article text."""
     if name in NEVER_TEXT:
-        return True
+        return SURE
     if not attributes or attributes.isspace() or name in ("html", "body", "article", "main"):
-        return False
+        return PLAIN
     if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes):
-        return True
+        return SURE
+    worded = PLAIN
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         value, key = a or b or c, key.lower()
         if key in ("class", "id"):
-            if any(w.lower() in NOT_TEXT_WORD for w in WORD.findall(value)):
-                return True
-            if re.search(r"side-?bar|(?:site|page|top|global)-?header", value, re.IGNORECASE):
-                return True
-        elif key == "role":
-            if value.lower() in NOT_TEXT_ROLE:
-                return True
-        elif key == "aria-hidden":
-            if value.lower() == "true":
-                return True
-        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            words = {w.lower() for w in WORD.findall(value)}
+            if words & COMMENT_WORD:
+                return SURE
+            if words & NOT_TEXT_WORD or re.search(
+                r"side-?bar|(?:site|page|top|global)-?header", value, re.IGNORECASE
+            ):
+                worded = WORDED
+        elif (
+            key == "role"
+            and value.lower() in NOT_TEXT_ROLE
+            or key == "aria-hidden"
+            and value.lower() == "true"
+            or key == "style"
+            and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)
+        ):
+            return SURE
+    return worded
 
 
 def parse(page_html: str) -> Page:
@@ -171,16 +181,24 @@ def parse(page_html: str) -> Page:
 
 
 def settle_dropped(page: Page) -> None:
-    """Drop what stands below a dropped node; keep a marked node around a whole article."""
+    """Drop what stands below a dropped node. A node around a whole article stays, and so does
+    one with more than half of the text of a page without a named article, if only a word
+    marks it."""
     names, parent, dropped = page.name, page.parent, page.dropped
-    holds, inside = [False] * len(names), [False] * len(names)
-    for i in range(len(names) - 1, 0, -1):
+    n = len(names)
+    holds, inside, size = [False] * n, [False] * n, [0] * n
+    for node, _, text in page.pieces:
+        size[node] += len(text.strip())
+    for i in range(n - 1, 0, -1):
+        size[parent[i]] += size[i]
         if holds[i] or names[i] in ("article", "main"):
             holds[parent[i]] = True
-    for i in range(1, len(names)):
+    for i in range(1, n):
         up = parent[i]
         inside[i] = inside[up] or names[i] in ("article", "main")
-        own = dropped[i] or names[i] == "header" and not inside[i]
+        own = dropped[i] == SURE or names[i] == "header" and not inside[i]
+        if dropped[i] == WORDED:
+            own = holds[0] or 2 * size[i] <= size[0]
         dropped[i] = dropped[up] or own and (names[i] in NEVER_TEXT or not holds[i])
 
 

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from labelstats.functions.expressions import column
+
 #: Rows that one block, and one slice of a shard, hold on average.
 ROWS_PER_BLOCK = 16384
 #: Tails beyond so many standard deviations weigh less than the last bit of the draw.
@@ -214,7 +216,7 @@ def shuffle_shards(
         dealt.withColumn("row_", F.row_number().over(again))
         .join(starts, ["shard", "slice_"])
         .withColumn("slot", F.col("start_") + F.col("row_") - 1)
-        .drop("second_", "slice_", "row_", "start_")
+        .select(*[column(c) for c in rows.columns], "shard", "slot")
     )
 
 

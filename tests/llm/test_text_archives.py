@@ -47,6 +47,14 @@ def test_main_text_without_named_article():
     assert html_text.main_text(page) == " ".join(f"Title {words * 3} Short. {words * 2}".split())
 
 
+def test_words_that_mark_do_not_take_the_page():
+    text = "A sentence of the text that fills most of the page. " * 5
+    page = f'<body><div class="social">x y</div><div class="no-ad layout"><p>{text}</p><p>{text}</p></div></body>'
+    assert html_text.main_text(page) == " ".join((text * 2).split())
+    noisy = f'<body><div><p>{text}</p></div><div class="comments"><p>{text * 4}</p></div></body>'
+    assert html_text.main_text(noisy) == " ".join(text.split())
+
+
 def test_extract_frame(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<p>x</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
