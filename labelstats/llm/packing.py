@@ -9,9 +9,9 @@ least cost up to boundary j at token b(j),
     f(j) = LENGTH - b(j) + cost(j) + min of f(i) + b(i) over boundaries i within LENGTH,
 
 and a monotone queue holds the minima of the sliding range, so the time is linear in the
-boundaries. A range is worked off in runs of ``RUN`` tokens; the last window of a run is carried
-into the next, so one unfilled window remains per range. It is cut into powers of two, which
-need no padding, where that is cheaper.
+boundaries. A range is worked off in runs of ``RUN`` tokens; what follows the last full window of
+a run costs nothing there and is carried into the next, so one unfilled window remains per
+range. It is cut into powers of two, which need no padding, where that is cheaper.
 
 Defined results: a null or empty text is its end token alone; repeated rows are packed each;
 null keys come first, as one key; a text of any length is cut into as many pieces as it
@@ -25,7 +25,7 @@ import json
 import re
 import unicodedata
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -134,12 +134,15 @@ def boundaries(ids: np.ndarray, ends: np.ndarray, ends_sentence: np.ndarray) ->
     return places.tolist(), cost[places].tolist()
 
 
-def least_cuts(places: list[int], costs: list[int], length: int) -> list[int]:
-    """The places to cut at, from 0 to the last place."""
+def least_cuts(
+    places: list[int], costs: list[int], length: int, rest: Callable[[int], int] | None = None
+) -> list[int]:
+    """The places to cut at, from 0 to the last place. ``rest`` is the cost of what follows the
+    last cut before the end, by its size; padding, if not given."""
     n = len(places)
     best, before = [0] * n, [0] * n
     queue: deque[tuple[int, int]] = deque()  # (f + place, boundary), values growing
-    for j in range(1, n):
+    for j in range(1, n - 1):
         at = places[j]
         value = best[j - 1] + places[j - 1]
         while queue and queue[-1][0] >= value:
@@ -149,19 +152,26 @@ def least_cuts(places: list[int], costs: list[int], length: int) -> list[int]:
             queue.popleft()
         value, i = queue[0]
         best[j], before[j] = value + length - at + costs[j], i
-    cuts, j = [], n - 1
+    last = range(max(0, n - 1 - length), n - 1)
+    near = [j for j in last if places[-1] - places[j] <= length]
+    left = (lambda size: length - size) if rest is None else rest
+    j = min(near, key=lambda j: (best[j] + left(places[-1] - places[j]), -j))
+    cuts = [places[-1]]
     while j > 0:
         cuts.append(places[j])
         j = before[j]
     return [0, *reversed(cuts)]
 
 
-def last_cuts(size: int, length: int) -> list[int]:
+def last_sizes(size: int, length: int) -> list[int]:
     """How to end a range: one padded window, or powers of two where they cost less."""
     powers = [1 << k for k in range(size.bit_length() - 1, -1, -1) if size >> k & 1]
-    if size and length - size > (len(powers) - 1) * (SEQUENCE + INSIDE):
-        return powers
-    return [size] if size else []
+    return powers if length - size > (len(powers) - 1) * (SEQUENCE + INSIDE) else [size]
+
+
+def last_cost(size: int, length: int) -> int:
+    """What the last window of a range costs, ended as ``last_sizes`` does."""
+    return min(length - size, (size.bit_count() - 1) * (SEQUENCE + INSIDE))
 
 
 def pack_stream(
@@ -193,11 +203,10 @@ def pack_stream(
     def window_sizes(final: bool) -> list[int]:
         ids = np.concatenate([i[placed:] for _, i, placed in waiting])
         ends = np.cumsum([len(i) - placed for _, i, placed in waiting])
-        cuts = least_cuts(*boundaries(ids, ends, ends_sentence), length)
+        rest = (lambda size: last_cost(size, length)) if final else lambda size: 0
+        cuts = least_cuts(*boundaries(ids, ends, ends_sentence), length, rest)
         sizes = [b - a for a, b in zip(cuts, cuts[1:])]
-        if final:
-            return sizes[:-1] + last_cuts(sizes[-1], length)
-        return sizes[:-1]
+        return sizes[:-1] + (last_sizes(sizes[-1], length) if final else [])
 
     for key, packed in docs:
         ids = np.frombuffer(packed, "<u4")

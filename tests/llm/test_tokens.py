@@ -88,21 +88,29 @@ def test_packing_query(request, coders, case):
     assert Counter((r["doc_id"], r["start"], r["ids_crc32"]) for r in packing.op9(docs, WORDS).collect()) == crc
 
 
-def test_cuts_cost_least():
+@pytest.mark.parametrize("rest", [None, lambda size: 0, lambda size: size % 7])
+def test_cuts_cost_least(rest):
     """The queue against trying all boundaries."""
     rng = random.Random(8)
-    for _ in range(200):
+    for _ in range(300):
         places = [0, *sorted(rng.sample(range(1, 200), rng.randint(1, 40)))]
         length = max(b - a for a, b in zip(places, places[1:])) + rng.randint(0, 30)
         costs = [rng.choice([0, 4, 24]) for _ in places]
+
+        def cost(i, j):
+            size = places[j] - places[i]
+            if j < len(places) - 1:
+                return length - size + costs[j]
+            return length - size if rest is None else rest(size)
+
         best = [0] + [10**9] * (len(places) - 1)
         for j in range(1, len(places)):
             for i in range(j):
                 if places[j] - places[i] <= length:
-                    best[j] = min(best[j], best[i] + length - places[j] + places[i] + costs[j])
-        cuts = packing.least_cuts(places, costs, length)
-        cost = dict(zip(places, costs))
-        assert sum(length - b + a + cost[b] for a, b in zip(cuts, cuts[1:])) == best[-1]
+                    best[j] = min(best[j], best[i] + cost(i, j))
+        cuts = [places.index(c) for c in packing.least_cuts(places, costs, length, rest)]
+        assert sum(cost(i, j) for i, j in zip(cuts, cuts[1:])) == best[-1]
+        assert cuts[0] == 0 and cuts[-1] == len(places) - 1
 
 
 def test_little_padding_over_runs(coders):
