@@ -9,8 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from labelstats.llm import quality, simhash, toxicity
-from tests.llm.test_tokens import WORDS, packed_ids
+from labelstats.llm import quality, toxicity
 
 
 def accuracy(rows, labels, column, held_out):
