@@ -1,0 +1,80 @@
+"""Classes of near documents in the pipeline against brute force on five-word shingles."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import corpus_pipeline
+from labelstats.llm import neardup
+from tests.llm.conftest import DOCS, prose
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_classes(texts):
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or a and sets[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(texts))]
+
+
+def edited(rng, text, edits):
+    words = text.split()
+    for at in rng.sample(range(len(words)), min(edits, len(words))):
+        words[at] = prose(rng, 1)
+    return " ".join(words)
+
+
+def test_stage_keeps_one_of_each_class_at_08(spark):
+    """Chains of edits around the limit, a passage that many share, copies, a large group."""
+    rng = random.Random(4)
+    texts = [None, "", " \n", "one two", "One  two", "a b c d e", "a b c d e f"]
+    passage = prose(rng, 40)
+    for _ in range(12):
+        text = prose(rng, rng.randint(6, 150))
+        texts += [text, text.upper()]
+        for _ in range(6):
+            text = edited(rng, text, rng.randint(1, 4))
+            texts.append(text)
+    texts += [f"{prose(rng, rng.randint(5, 30))} {passage}" for _ in range(30)]
+    large = prose(rng, 120)
+    texts += [edited(rng, large, rng.randint(1, 3)) for _ in range(60)]
+    want = brute_classes(texts)
+    assert 40 < len(set(want)) < len(texts) - 60
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS).repartition(5)
+    kept = corpus_pipeline.different(spark, frame, "").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(want))
+    assert {r["doc_id"]: r["text"] for r in kept} == {i: texts[i] for i in set(want)}
+
+
+def test_stage_takes_awkward_documents(spark, awkward, clashing, none):
+    for docs in (awkward, clashing):
+        kept = corpus_pipeline.different(spark, docs, "")
+        rows = kept.collect()
+        assert kept.columns == docs.columns
+        assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [1, 2, 5, 6, 7, 9, 10, 11, 13, 14]
+        assert len([r for r in rows if r["doc_id"] is None]) == 1
+    assert corpus_pipeline.different(spark, none, "").collect() == []
+
+
+def test_prefixes_of_any_order_meet():
+    rng = random.Random(8)
+    for _ in range(300):
+        pool = rng.sample(range(1000), rng.randint(1, 60))
+        a = set(pool) - set(rng.sample(pool, rng.randint(0, len(pool) // 8)))
+        b = set(pool) - set(rng.sample(pool, rng.randint(0, len(pool) // 8)))
+        if 5 * len(a & b) >= 4 * len(a | b) and a and b:
+            first = [set(sorted(s)[: neardup.prefix_size(len(s))]) for s in (a, b)]
+            assert first[0] & first[1]
