@@ -24,7 +24,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelstats.llm.common import settled, small_batches, texts_of
@@ -195,18 +195,28 @@ def near_classes(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS, b
     )
 
 
+def row_name(docs: DataFrame) -> Column:
+    """A name for each row: its doc_id, its text's SHA-256, a hash of all columns."""
+    parts = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.sha2(F.coalesce("text", F.lit("")), 256)
+    return F.concat_ws(":", *parts, F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
+
+
+def first_rows(docs: DataFrame, name: str, classes: DataFrame) -> DataFrame:
+    """One row of each class of (name, class): that with the smallest doc_id, then text hash.
+    A row without doc_id stays only where no other of its class has one."""
+    names = docs.select(name, "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", name)
+    kept = classes.distinct().join(names, name).groupBy("class").agg(F.min(order).alias("o"))
+    kept = kept.select(F.col(f"o.{name}").alias(name))
+    return docs.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
+
+
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The documents that stay: of every class that with the smallest ``doc_id``, once."""
-    classes = near_classes(settled(fingerprints(docs)), radius=radius)
-    kept = classes.select(F.col("component_id").alias("doc_id")).distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    # Classes of documents without a doc_id keep one of them.
-    bare = docs.where(F.col("doc_id").isNull()).dropDuplicates(["text"])
-    bits = settled(fingerprints(bare, key="text"))
-    unnamed = classes.where(F.col("component_id").isNull()).select("bits", "class").distinct()
-    texts = bits.join(unnamed, "bits").groupBy("class").agg(F.min(F.struct(F.col("text").isNotNull(), "text")).alias("t"))
-    texts = texts.select(F.col("t.text").alias("text_"))
-    return named.unionByName(bare.join(texts, bare["text"].eqNullSafe(texts["text_"]), "left_semi"))
+    """The documents that stay: of every class of near fingerprints one row, all its columns."""
+    name = "row_name_"
+    named = docs.withColumn(name, row_name(docs))
+    classes = near_classes(settled(fingerprints(named, key=name)), key=name, radius=radius)
+    return first_rows(named, name, classes.select(name, "class"))
 
 
 def op8(documents: DataFrame) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 import re
 
+import pytest
+
 import corpus_pipeline
-from labelstats.llm import neardup
+from labelstats.llm import neardup, simhash
 from tests.llm.conftest import DOCS, prose
 
 
@@ -78,3 +80,16 @@ def test_prefixes_of_any_order_meet():
         if 5 * len(a & b) >= 4 * len(a | b) and a and b:
             first = [set(sorted(s)[: neardup.prefix_size(len(s))]) for s in (a, b)]
             assert first[0] & first[1]
+
+
+@pytest.mark.parametrize("stage", [neardup.one_of_each, simhash.one_of_each])
+def test_texts_that_share_a_key_keep_their_classes(spark, stage):
+    """A hot key with different texts; a smaller key represents one of their classes."""
+    rng = random.Random(2)
+    texts = [prose(rng, 60) for _ in range(6)]
+    rows = [(7, t, "en", "s", i) for i, t in enumerate(texts)] + [(7, texts[1], "en", "s", 9), (7, texts[1], "en", "s", 9)]
+    rows += [(3, texts[2], "en", "s", 0), (3, prose(rng, 50), "en", "s", 0), (None, texts[0], "en", "s", 0)]
+    want = sorted([(7, t) for i, t in enumerate(texts) if i != 2] + [(3, t) for _, t, *_ in rows[8:10]])
+    for parts in (1, 4):
+        frame = spark.createDataFrame(rows, DOCS).repartition(parts)
+        assert sorted((r["doc_id"], r["text"]) for r in stage(frame).collect()) == want
