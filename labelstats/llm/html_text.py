@@ -40,7 +40,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 NEVER_TEXT = frozenset(
     "head script style noscript template iframe object embed svg canvas math audio video map "
-    "nav footer aside form button select option datalist input textarea dialog menu title "
+    "nav footer aside button select option datalist input textarea dialog menu title "
     "xmp noembed noframes".split()
 )
 BLOCK = frozenset(
@@ -88,8 +88,8 @@ class Page:
         return len(self.name) - 1
 
 
-#: How surely an element is not article text: not marked, by a word that may mean something
-#: else where the element holds most of the page, or surely.
+#: How surely an element is not article text: not marked, by a word or as a form, which may mean
+#: something else where the element holds most of the text, or surely.
 PLAIN, WORDED, SURE = 0, 1, 2
 
 
@@ -97,11 +97,11 @@ def marked_as_other(name: str, attributes: str) -> int:
     """Whether names or attributes say that the element is not article text."""
     if name in NEVER_TEXT:
         return SURE
+    worded = WORDED if name == "form" else PLAIN
     if not attributes or attributes.isspace() or name in ("html", "body", "article", "main"):
-        return PLAIN
+        return worded
     if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes):
         return SURE
-    worded = PLAIN
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         value, key = a or b or c, key.lower()
         if key in ("class", "id"):
@@ -182,23 +182,27 @@ def parse(page_html: str) -> Page:
 
 def settle_dropped(page: Page) -> None:
     """Drop what stands below a dropped node. A node around a whole article stays, and so does
-    one with more than half of the text of a page without a named article, if only a word
-    marks it."""
+    one with more than half of the text of its article, or of a page without a named article,
+    if only a word or the element ``form`` marks it."""
     names, parent, dropped = page.name, page.parent, page.dropped
     n = len(names)
-    holds, inside, size = [False] * n, [False] * n, [0] * n
+    holds, surely, size = [False] * n, [False] * n, [0] * n
+    around = [0] * n  # the innermost article or main with text that the node is in
+    for i in range(1, n):
+        surely[i] = surely[parent[i]] or dropped[i] == SURE
     for node, _, text in page.pieces:
-        size[node] += len(text.strip())
+        if not surely[node]:
+            size[node] += len(text.strip())
     for i in range(n - 1, 0, -1):
         size[parent[i]] += size[i]
-        if holds[i] or names[i] in ("article", "main"):
+        if holds[i] or names[i] in ("article", "main") and size[i]:
             holds[parent[i]] = True
     for i in range(1, n):
         up = parent[i]
-        inside[i] = inside[up] or names[i] in ("article", "main")
-        own = dropped[i] == SURE or names[i] == "header" and not inside[i]
+        around[i] = i if names[i] in ("article", "main") and size[i] else around[up]
+        own = dropped[i] == SURE or names[i] == "header" and not around[i]
         if dropped[i] == WORDED:
-            own = holds[0] or 2 * size[i] <= size[0]
+            own = 2 * size[i] <= size[around[i]] or not around[i] and holds[0]
         dropped[i] = dropped[up] or own and (names[i] in NEVER_TEXT or not holds[i])
 
 

@@ -55,6 +55,26 @@ def test_words_that_mark_do_not_take_the_page():
     assert html_text.main_text(noisy) == " ".join(text.split())
 
 
+@pytest.mark.parametrize("name", ["entry ad-free", "share-body", "social notice"])
+def test_words_that_mark_do_not_take_a_named_article(name):
+    text = "A sentence of the article that fills most of it. " * 5
+    page = f'<body><div class="{name}">x y</div><article><h1>T</h1><div class="{name}"><p>{text}</p><p>{text}</p></div><div class="{name}">Buy</div></article></body>'
+    found = html_text.main_text(page)
+    assert " ".join((text * 2).split()) in found and "Buy" not in found and "x y" not in found
+    parts = f'<main><article><div class="{name}"><p>{text}</p></div></article></main>' * 2
+    assert " ".join(text.split()) in html_text.main_text(parts)
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_form_around_the_page_keeps_the_text(tag):
+    text = "A sentence of the text in a page that is one form. " * 5
+    page = (
+        '<body><form method="post" id="form1"><input name="state"><nav><a href="/">Home</a></nav>'
+        f'<{tag}><p>{text}</p><p>{text}</p><form action="/find">Search here <button>Go</button></form></{tag}></form></body>'
+    )
+    assert html_text.main_text(page) == " ".join((text * 2).split())
+
+
 def test_extract_frame(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<p>x</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
