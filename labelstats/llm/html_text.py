@@ -5,8 +5,9 @@ adverts, comments and the like) go first. For every remaining node the character
 are computed and adjusted by the share of link text; a node's sum is that of its children's
 densities. The node with the largest sum leads: the least density on its path to the body
 is the threshold, and from the body down every subtree that reaches it gives its own
-largest-sum subtree. Where the page names its article (``article`` or ``main``), the search
-keeps to it.
+largest-sum subtree. Where the page names its article (``article`` or ``main``), no search
+happens: all that is left in every article of it is the text, since the search would leave
+out titles and short ends of it.
 
 Defined results: null, empty or tag-only html gives the empty text; unclosed and wrongly
 nested tags are repaired as browsers do in simple cases; an article is never cut. Repeated
@@ -206,8 +207,8 @@ def settle_dropped(page: Page) -> None:
         dropped[i] = dropped[up] or own and (names[i] in NEVER_TEXT or not holds[i])
 
 
-def densities(page: Page) -> tuple[list[float], list[float]]:
-    """Composite text density of each node, and the sum over its children."""
+def densities(page: Page) -> tuple[list[float], list[float], list[float]]:
+    """Composite text density of each node, the sum over its children, its share of link text."""
     names, parent, dropped, n = page.name, page.parent, page.dropped, len(page.name)
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     linked = [False] * n
@@ -237,7 +238,7 @@ def densities(page: Page) -> tuple[list[float], list[float]]:
         density[i] = c / t * math.log(c / lc * t / lt) / math.log(links + math.e)
         if i:
             total[parent[i]] += density[i]
-    return density, total
+    return density, total, [lc / c if c else 0.0 for lc, c in zip(link_chars, chars)]
 
 
 def subtree_ends(page: Page) -> list[int]:
@@ -249,48 +250,58 @@ def subtree_ends(page: Page) -> list[int]:
 
 
 def chosen_nodes(page: Page) -> list[bool]:
-    """Which nodes hold the main text."""
-    n, parent, end = len(page.name), page.parent, subtree_ends(page)
-    density, total = densities(page)
-    keep = [False] * n
-    named = [
-        i
-        for i in range(1, n)
-        if page.name[i] in ("article", "main") and not page.dropped[i] and density[i]
-    ]
+    """Which nodes hold the main text: all that is left in every named article, or what the
+    search finds on a page that names none. Articles of links for the most part are teasers."""
+    n, names = len(page.name), page.name
+    density, total, links = densities(page)
+    keep, end = [False] * n, subtree_ends(page)
+    named = [i for i in range(1, n) if names[i] in ("article", "main") and not page.dropped[i] and density[i]]
     if named:
-        # The named article with most text density; all that is left in it belongs to it.
-        articles = [i for i in named if page.name[i] == "article"] or named
-        best = max(articles, key=lambda i: (total[i] + density[i], -i))
-        while any(page.name[best] == page.name[u] for u in ancestors(page, best)):
-            best = next(u for u in ancestors(page, best) if page.name[u] == page.name[best])
-        for i in range(best, end[best]):
-            keep[i] = not page.dropped[i]
+        articles = [i for i in named if names[i] == "article"] or named
+        roots, after = [], 0
+        for i in articles:  # in page order: those that no other is around
+            if i >= after:
+                roots.append(i)
+                after = end[i]
+        written = [i for i in roots if 2 * links[i] <= 1]
+        if not written:
+            written = [max(roots, key=lambda i: (total[i] + density[i], -i))]
+        for root in written:
+            for i in range(root, end[root]):
+                keep[i] = not page.dropped[i]
         return keep
-    body = next((i for i in range(1, n) if page.name[i] == "body" and not page.dropped[i]), 0)
-    lead = max(range(body, n), key=lambda i: (total[i], -i))
-    threshold, up = density[lead], lead
-    while up > body:
+    body = next((i for i in range(1, n) if names[i] == "body" and not page.dropped[i]), 0)
+    search(page, body, density, total, end, keep)
+    if not any(keep):
+        keep = [not d for d in page.dropped]
+    return keep
+
+
+def search(
+    page: Page, root: int, density: list[float], total: list[float], end: list[int], keep: list[bool]
+) -> None:
+    """Mark in ``keep`` what composite sums and the threshold choose below the root."""
+    parent, last = page.parent, end[root]
+    lead = max(range(root, last), key=lambda i: (total[i], -i))
+    threshold, up = density[lead] or math.inf, lead
+    while up > root:
         up = parent[up]
         if density[up]:
             threshold = min(threshold, density[up])
-    best = list(range(n))
-    for i in range(n - 1, body, -1):
-        if total[best[i]] > total[best[parent[i]]]:
-            best[parent[i]] = best[i]
+    best = list(range(root, last))
+    for i in range(last - 1, root, -1):
+        if total[best[i - root]] > total[best[parent[i] - root]]:
+            best[parent[i] - root] = best[i - root]
     children: dict[int, list[int]] = {}
-    for i in range(n - 1, body, -1):
+    for i in range(last - 1, root, -1):
         children.setdefault(parent[i], []).append(i)
-    waiting = [body]
+    waiting = [root]
     while waiting:
         i = waiting.pop()
         if not page.dropped[i] and not keep[i] and density[i] >= threshold and density[i]:
-            for j in range(best[i], end[best[i]]):
+            for j in range(best[i - root], end[best[i - root]]):
                 keep[j] = not page.dropped[j]
             waiting += children.get(i, [])
-    if not any(keep):
-        keep = [not d for d in page.dropped]
-    return keep
 
 
 def ancestors(page: Page, node: int) -> Iterator[int]:

@@ -65,6 +65,15 @@ def test_words_that_mark_do_not_take_a_named_article(name):
     assert " ".join(text.split()) in html_text.main_text(parts)
 
 
+def test_all_parts_of_a_text_in_several_articles():
+    text = "A sentence of a part, long enough to be one. "
+    page = (
+        f"<body><p>Before</p><article><h1>One</h1><div><p>{text * 5}</p></div><p>End.</p></article><div><article><h2>Two</h2><p>{text}</p>"
+        f"<article>Inner {text}</article></article></div><article><a href=x>A teaser of another page</a></article></body>"
+    )
+    assert html_text.main_text(page) == " ".join(f"One {text * 5} End. Two {text} Inner {text}".split())
+
+
 @pytest.mark.parametrize("tag", ["article", "main", "div"])
 def test_form_around_the_page_keeps_the_text(tag):
     text = "A sentence of the text in a page that is one form. " * 5
