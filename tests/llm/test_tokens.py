@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from labelstats.llm import bpe, packing
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -122,3 +123,8 @@ def test_little_padding_over_runs(coders):
         sizes[p[5]] += p[2]
     padding = sum(4096 - s for s in sizes.values() if s & (s - 1))
     assert padding < 0.02 * sum(sizes.values()) and [p[0] for p in pieces] == sorted(p[0] for p in pieces)
+
+
+def test_pipeline_writes_token_ids(awkward):
+    rows = corpus_pipeline.packed(awkward.sparkSession, awkward, "").collect()
+    assert rows and all(len(r["ids"]) == 4 * r["length"] for r in rows)
