@@ -7,11 +7,14 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a batch that Python code works on at a time; a batch holds whole texts.
 BATCH_ROWS = 1024
+#: Bytes of texts in a batch, for code that holds their words; a longer text is one batch.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +45,14 @@ def settled(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def key_crc(key: Column) -> Column:
+    """crc32 of the key written as text; null for a null key."""
+    return F.crc32(F.encode(key.cast("string"), "UTF-8"))
+
+
 def key_remainder(key: Column, divisor: int) -> Column:
     """crc32 of the key written as text, modulo the divisor; null for a null key."""
-    return F.crc32(F.encode(key.cast("string"), "UTF-8")) % divisor
+    return key_crc(key) % divisor
 
 
 def labelled_sample(
@@ -84,3 +92,23 @@ def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column as a list, null as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]
+
+
+def byte_batches(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes in the
+    column ``name``, one row at least."""
+    for batch in small_batches(batches):
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy()
+        first, held = 0, 0
+        for at, size in enumerate(sizes.tolist()):
+            if at > first and held + size > BATCH_BYTES:
+                yield batch.slice(first, at - first)
+                first, held = at, 0
+            held += size
+        if first < batch.num_rows:
+            yield batch.slice(first)
+
+
+def bytes_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
+    """A text column as UTF-8, null as the empty text."""
+    return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, digest, html_text, mtree, packing, quality, shards, simhash, toxicity, warc
+from labelstats.llm import bpe, digest, html_text, mtree, packing, quality, runs, shards, simhash, toxicity, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.op10(table(spark, sf_dir, "documents"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.op11(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_packing,
         op10_digest,
+        op11_runs,
     )
 }
 

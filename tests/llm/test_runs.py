@@ -1,0 +1,132 @@
+"""Periodic runs against a search of all periods at all places."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from labelstats.llm import common, queries, runs
+from tests.llm.conftest import DOCS
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def brute_runs(words, least=6, times=4):
+    """Every maximal stretch of a period, kept where no smaller period holds it."""
+    n, found = len(words), []
+    for q in range(1, n // times + 1):
+        i = q
+        while i < n:
+            j = i
+            while j < n and words[j] == words[j - q]:
+                j += 1
+            start, length = i - q, j - i + q
+            if j > i and length >= max(least, times * q):
+                part = words[start : start + length]
+                if not any(part[p:] == part[:-p] for p in range(1, q)):
+                    found.append((start, length, q))
+            i = max(j, i) + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def brute_words(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if doc_id is None or not n:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def brute_row(doc_id, text):
+    words = brute_words(doc_id, text)
+    found = brute_runs(words)
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None,) * 3)
+    milli = 1000 * best[1] // best[2] if found else None
+    sha = [hashlib.sha256(t.encode()).hexdigest() for t in (lines, kept)]
+    return (doc_id, len(found), *best, milli, *sha)
+
+
+def texts_with_runs(rng):
+    """Stretches of periods among other words, of few letters so that they overlap and touch."""
+    for _ in range(400):
+        words = []
+        for _ in range(rng.randint(0, 6)):
+            period = [rng.choice("abc") for _ in range(rng.choice([1, 1, 2, 3, 4, 5, 7, 8, 9, 13, 16, 17]))]
+            words += (period * rng.randint(1, 7))[: rng.randint(1, 90)]
+            words += [rng.choice("abcdefgh") for _ in range(rng.randint(0, 4))]
+        yield words
+
+
+@pytest.mark.parametrize("least, times", [(6, 4), (1, 3), (20, 5)])
+def test_diagonals_equal_search(least, times):
+    texts = list(texts_with_runs(random.Random(least)))
+    sizes = np.array([len(t) for t in texts])
+    names = [(i, w) for i, t in enumerate(texts) for w in t]
+    number = {w: i for i, w in enumerate(dict.fromkeys(names))}
+    found = np.stack(runs.diagonal_runs(np.array([number[w] for w in names]), sizes, least, times), axis=1)
+    firsts = np.cumsum(sizes) - sizes
+    want = [(s + a, n, q) for t, a in zip(texts, firsts) for s, n, q in brute_runs(t, least, times)]
+    assert len(want) > 100
+    assert list(map(tuple, found.tolist())) == [tuple(map(int, w)) for w in want]
+
+
+def test_equal_words_take_little_time():
+    size = 300_000
+    for period in (1, 7, 1000, size // 4):
+        names = np.arange(size) % period
+        found = np.stack(runs.diagonal_runs(names, np.array([size])), axis=1)
+        assert found.tolist() == [[0, size, period]]
+
+
+def rows(frame):
+    names = (
+        "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256".split()
+    )
+    return sorted(map(tuple, frame.select(names).collect()), key=repr)
+
+
+def test_query_equals_search(spark):
+    docs = common.table(spark, FOLDER, "documents").select("doc_id", "text").collect()
+    short = {r["doc_id"] for r in docs if len((r["text"] or "").split()) <= 600}
+    assert len(short) > 150
+    want = [brute_row(*r) for r in docs if r["doc_id"] in short]
+    found = [r for r in rows(queries.op11_runs(spark, FOLDER)) if r[0] in short]
+    assert found == sorted(want, key=repr)
+    assert sum(r[1] > 0 for r in found) > 5
+    assert queries.op11_runs(spark, FOLDER).count() == len(docs)
+
+
+def test_awkward_documents(spark, awkward, awkward_rows, clashing, none):
+    small = [r for r in awkward_rows if len(r[1] or "") < 10_000]
+    want = sorted((brute_row(r[0], r[1]) for r in small), key=repr)
+    for docs in (awkward, clashing):
+        found = rows(runs.op11(docs))
+        assert len(found) == len(awkward_rows)
+        assert [r for r in found if r[0] != 6] == want
+    assert runs.op11(none).collect() == []
+
+
+def test_written_periods_and_real_outputs(spark):
+    rng = random.Random(3)
+    docs = [(i, " \n".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 200)))) for i in range(300)]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in docs], DOCS)
+    assert rows(runs.op11(frame)) == sorted((brute_row(i, t) for i, t in docs), key=repr)
+    text = "x " + "go  away\n" * 5 + "now"
+    out = runs.periodic_runs(spark.createDataFrame([("k", text)], "name string, body string"), "name", "body")
+    row = out.first()
+    assert (row["name"], row["n_words"], row["collapsed"]) == ("k", 12, "x go away now")
+    assert [tuple(r) for r in row["runs"]] == [(1, 10, 2)]
