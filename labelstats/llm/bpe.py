@@ -1,12 +1,16 @@
 """Byte-level BPE by backtracking over longest matches, and decoding by an offset table.
 
 The text is cut at special tokens and by the tokenizer's pattern. A piece is encoded from
-left to right: take the longest token that starts here (all of them come from one pass of an
-Aho-Corasick automaton over the reversed piece), keep it if it may stand after the token
-before it, else try its next shorter prefix, else take back the token before. Two tokens may
-stand together exactly if the merges would not join across their border; verdicts are kept
-in a table. No position is left twice, so the time is linear, and the result is that of the
-merges. Decoding looks token bytes up by their offsets in one block of bytes.
+left to right: take the longest token that starts here (an Aho-Corasick automaton gives the
+leftmost longest matches one after another, and starts anew where a shorter token was kept),
+keep it if it may stand after the token before it, else try its next shorter prefix, else take
+back the token before. Two tokens may stand together exactly if the merges would not join
+across their border; verdicts are kept in a table. No position is left twice, so the time is
+linear, and the result is that of the merges. Decoding looks token bytes up by their offsets
+in one block of bytes.
+
+Texts with code points that Python's Unicode tables do not assign are cut by the tokenizers
+library itself, whose tables may be newer or older.
 
 Defined results: null and empty texts have no tokens; special tokens' strings in a text are
 those tokens; bytes that are no UTF-8 decode to U+FFFD. Texts are never cut. Extra columns
@@ -16,6 +20,8 @@ are not carried.
 from __future__ import annotations
 
 import json
+import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,6 +29,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,12 +51,23 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> np.ndarray:
+    """For each code point, whether Python's Unicode tables leave it unassigned."""
+    return np.array([unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)])
+
+
+def has_unassigned(text: str) -> bool:
+    return not text.isascii() and bool(unassigned()[np.frombuffer(text.encode("utf-32-le"), "<u4")].any())
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file, given as its text."""
 
     def __init__(self, source: str) -> None:
         spec = json.loads(source)
         model, letters = spec["model"], byte_letters()
+        self.library, self.letters = tokenizers.Tokenizer.from_str(source), letters
         vocab = {bytes(letters[c] for c in t): i for t, i in model["vocab"].items()}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         merges = [tuple(bytes(letters[c] for c in half) for half in m) for m in merges]
@@ -162,7 +180,15 @@ class Codec:
             return b"".join(self.special.get(p) or self.encode_plain(p) for p in parts)
         return self.encode_plain(text)
 
+    def library_pieces(self, text: str) -> list[str]:
+        """The pieces as the library cuts them, a letter for each byte."""
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(text)
+        return ["".join([chr(self.letters[c]) for c in p]) for p, _ in pieces]
+
     def encode_plain(self, text: str) -> bytes:
+        if has_unassigned(text):
+            pieces = map(self.encode_piece, self.library_pieces(text))
+            return b"".join([self.id_bytes[t] for piece in pieces for t in piece])
         pieces, known = self.cut.findall(text), self.known
         try:
             return b"".join([known[p] for p in pieces])

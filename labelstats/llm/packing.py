@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from labelstats.llm.bpe import byte_letters, read_vocabulary
+from labelstats.llm.bpe import byte_letters, has_unassigned, read_vocabulary
 from labelstats.llm.common import small_batches, texts_of
 
 LENGTH = 4096
@@ -56,7 +56,9 @@ PLAIN = re.compile("[\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]*")
 
 class WordCoder:
     """Ids as the tokenizers library gives them: texts are normalized and cut as the file
-    says, and the library's model merges every different word once."""
+    says, and the library's model merges every different word once. Texts with code points
+    that Python's Unicode tables do not assign go through the library as a whole, whose tables
+    may be newer or older."""
 
     def __init__(self, source: str, end_id: int) -> None:
         spec = json.loads(source)
@@ -101,8 +103,10 @@ class WordCoder:
         return self.plain(text) + self.end
 
     def plain(self, text: str) -> bytes:
-        text, known = self.normalized(text), self.known
+        given, text, known = text, self.normalized(text), self.known
         plain = self.cut_plain is not None and PLAIN.fullmatch(text)
+        if not plain and has_unassigned(given):
+            return packed_ids(self.library.encode(given, add_special_tokens=False).ids)
         words = (self.cut_plain if plain else self.cut).findall(text)
         try:
             return b"".join(map(known.__getitem__, words))
@@ -116,6 +120,10 @@ class WordCoder:
         return b"".join(map(known.__getitem__, words))
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 @lru_cache(maxsize=2)
 def word_coder(source: str, end_id: int) -> WordCoder:
     return WordCoder(source, end_id)

@@ -43,6 +43,19 @@ def test_ids_are_those_of_the_library(coders):
         assert word.encode(text) == packed_ids(word_library.encode(text, add_special_tokens=False).ids + [2])
 
 
+def test_ids_of_all_code_points(coders):
+    """Every code point beside letters, marks and spaces, also those that no table assigns."""
+    byte, byte_library, word, word_library = coders
+    rng = random.Random(6)
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    # Of the large planes of rare or no assignment, some; of the rest, all.
+    points = [c for c in points if c < 0x3500 or 0xA000 <= c < 0xAC00 or 0xF900 <= c < 0x20000 or rng.random() < 0.02]
+    texts = [f"{chr(c)}'re a{chr(c)}b {chr(c)}" for c in points]
+    for text, b, w in zip(texts, byte_library.encode_batch(texts), word_library.encode_batch(texts, add_special_tokens=False)):
+        assert byte.encode(text) == packed_ids(b.ids), text
+        assert word.encode(text) == packed_ids([*w.ids, 2]), text
+
+
 def test_broken_bytes_decode_as_the_library_does(coders):
     byte, library, *_ = coders
     rng = random.Random(4)
