@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, digest, html_text, mtree, packing, quality, runs, shards, simhash, toxicity, warc
+from labelstats.llm import bpe, digest, html_text, mtree, packing, quality, runs, shards, simhash, token_files, toxicity, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.op11(table(spark, sf_dir, "documents"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.op13(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
         op9_packing,
         op10_digest,
         op11_runs,
+        op13_token_files,
     )
 }
 
