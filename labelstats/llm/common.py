@@ -45,6 +45,12 @@ def settled(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what this application wrote at a path that ``fresh_path`` gave."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def key_crc(key: Column) -> Column:
     """crc32 of the key written as text; null for a null key."""
     return F.crc32(F.encode(key.cast("string"), "UTF-8"))
@@ -94,14 +100,15 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
-def byte_batches(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes in the
-    column ``name``, one row at least."""
-    for batch in small_batches(batches):
+def byte_batches(
+    batches: Iterator[pa.RecordBatch], name: str, limit: int = BATCH_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``limit`` bytes in the column ``name``, one row at least."""
+    for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy()
         first, held = 0, 0
         for at, size in enumerate(sizes.tolist()):
-            if at > first and held + size > BATCH_BYTES:
+            if at > first and held + size > limit:
                 yield batch.slice(first, at - first)
                 first, held = at, 0
             held += size

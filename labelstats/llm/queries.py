@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import bpe, digest, html_text, mtree, packing, quality, runs, shards, simhash, token_files, toxicity, warc
+from labelstats.llm import bpe, collocations, digest, html_text, mtree, packing, quality, runs, shards, simhash, token_files, toxicity, warc
 from labelstats.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.op11(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.op12(table(spark, sf_dir, "documents"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.op13(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
         op9_packing,
         op10_digest,
         op11_runs,
+        op12_collocations,
         op13_token_files,
     )
 }
@@ -114,4 +119,49 @@ ORACLES = {
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
         FROM g
     """,
+    "op12_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+        ), g AS (
+            SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w
+        ), s AS (
+            SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+            FROM g, (SELECT unnest(range(1, 6)) AS k)
+            WHERE i + k - 1 <= len(words)
+        ), f AS (
+            SELECT lang, k, phrase, count(*) AS f FROM s GROUP BY ALL HAVING count(*) >= 100
+        ), t AS (
+            SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang
+        ), c AS (
+            SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k > 1
+        ), kept AS (
+            SELECT * FROM c
+            WHERE NOT EXISTS (
+                SELECT 1 FROM c AS o
+                WHERE o.lang = c.lang AND o.k > c.k AND 100 * o.f >= 100 * c.f
+                  AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')
+            )
+        ), cut AS (
+            SELECT lang, phrase, f AS a, words, k, unnest(range(1, k)) AS left_size FROM kept
+        ), scored AS (
+            SELECT cut.lang, cut.phrase, a, left_size, l.f AS l, r.f AS r, CAST(n AS BIGINT) AS n,
+                   CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+            FROM cut
+            JOIN f AS l ON l.lang = cut.lang AND l.phrase = array_to_string(words[1:left_size], ' ')
+            JOIN f AS r ON r.lang = cut.lang AND r.phrase = array_to_string(words[left_size + 1:], ' ')
+            JOIN t ON t.lang = cut.lang
+        ), best AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, left_size) AS place FROM scored
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM best WHERE place = 1
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """,
 }

@@ -1,0 +1,100 @@
+"""Phrases against counting every stretch of words."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from labelstats.llm import collocations
+from tests.llm.conftest import DOCS
+
+NAMES = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def brute(docs, least, longest, top):
+    """``docs`` has (text, lang)."""
+    counts, n = Counter(), Counter()
+    for text, lang in docs:
+        lang = "und" if lang is None else lang
+        lower = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    counts[lang, tuple(words[i : i + k])] += 1
+    frequent = {g: f for g, f in counts.items() if f >= least}
+    rows = []
+    for (lang, words), a in frequent.items():
+        size = len(words)
+        held = any(
+            own == lang and len(w) > size and 100 * f >= 100 * a
+            and any(w[i : i + size] == words for i in range(len(w) - size + 1))
+            for (own, w), f in frequent.items()
+        )
+        if size == 1 or held:
+            continue
+        cuts = []
+        for k in range(1, size):
+            l, r = frequent[lang, words[:k]], frequent[lang, words[k:]]
+            cuts.append((1000 * a * n[lang] // (l * r), k, l, r))
+        score, _, l, r = min(cuts)
+        rows.append((lang, " ".join(words), a, l, r, n[lang], score))
+    rows.sort(key=lambda r: (r[0], -r[6], -r[2], r[1].encode()))
+    place = Counter()
+    out = []
+    for r in rows:
+        place[r[0]] += 1
+        if place[r[0]] <= top:
+            out.append((r[0], place[r[0]], *r[1:]))
+    return out
+
+
+def some_docs(rng):
+    words = ["The", "of", "ab", "é", "É", "x\x1cy", "don't", "zu", "Zu", "\xa0", "q", "漢字"]
+    docs = []
+    for _ in range(250):
+        text = "".join(
+            rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", " ?! ", "\x0b", "\r\n"])
+            for _ in range(rng.randint(0, 60))
+        )
+        if rng.random() < 0.4:
+            text += rng.choice([" ", "."]) + "one two three four five six seven" * rng.randint(1, 3)
+        docs.append((text, rng.choice(["en", "en", "fr", None, "und", ""])))
+    return docs + [(None, "en"), ("", None), (" \n .", "xx"), (docs[0][0], "en"), ("a a a a a a a a", "fr")]
+
+
+@pytest.mark.parametrize("least, longest, top, known", [(5, 5, 2000, 1 << 20), (5, 5, 2000, 0), (12, 3, 7, 40), (1, 5, 50, 0)])
+def test_phrases_equal_counting(spark, monkeypatch, least, longest, top, known):
+    """Also with relations of many blocks, and without sending groups to all tasks."""
+    monkeypatch.setattr(collocations, "BLOCK", 2000)
+    docs = some_docs(random.Random(least))
+    if least == 1:
+        docs = docs[:20]
+    frame = spark.createDataFrame([(i, t, lang, "s", 0) for i, (t, lang) in enumerate(docs)], DOCS).repartition(3)
+    found = collocations.collocations(frame, least, longest, top, known=known)
+    rows = sorted((tuple(r) for r in found.select(NAMES).collect()), key=lambda r: (r[0], r[1]))
+    want = brute(docs, least, longest, top)
+    assert len(want) > 5 and rows == want
+
+
+def test_awkward_documents(awkward, awkward_rows, clashing, none):
+    want = brute([(r[1], r[2]) for r in awkward_rows], 100, 5, 2000)
+    for docs in (awkward, clashing):
+        found = collocations.op12(docs).select(NAMES)
+        assert sorted((tuple(r) for r in found.collect()), key=lambda r: (r[0], r[1])) == want
+    assert collocations.op12(none).collect() == []
+    assert collocations.op12(awkward.where("doc_id < 6 and text is null")).collect() == []
+
+
+def test_scores_beyond_64_bits(spark):
+    """1000 * a * n passes 2^63 where the counts do."""
+    from pyspark.sql import functions as F
+
+    big = spark.sql("SELECT 900000000000 AS a, 90000000000000 AS n, 1000000000000 AS l, 5000000000000 AS r")
+    row = big.select(*[F.col(c).cast("decimal(18,0)").alias(f"{c}_") for c in "anlr"])
+    score = row.select(F.expr("(1000BD * a_ * n_) div (l_ * r_)")).first()[0]
+    assert score == 1000 * 900000000000 * 90000000000000 // (1000000000000 * 5000000000000)
