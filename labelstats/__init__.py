@@ -9,6 +9,7 @@ from labelstats.operators.keyed import (
     keyed_sum_wide,
     row_extreme,
 )
+from labelstats.operators.labels import index_labels, label_numbers
 from labelstats.operators.metrics import (
     accuracy,
     compare_models,
@@ -85,11 +86,13 @@ __all__ = [
     "first_rows",
     "fit_preparation",
     "hash_split",
+    "index_labels",
     "keyed_mean",
     "keyed_sum",
     "keyed_sum_long",
     "keyed_sum_wide",
     "kth_value",
+    "label_numbers",
     "labelled_schema",
     "linear_svc",
     "median_approx_by_class",

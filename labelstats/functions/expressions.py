@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 # Equal steps between two neighbouring edges in ``place``.
 STEPS = 4_096
+# More than the edges that ``edge_place`` searches; a power of two.
+EDGES = 2_048
 
 
 def column(name: str) -> Column:
@@ -70,12 +72,22 @@ def place(value: Column, edges: Sequence[Column]) -> tuple[Column, Column]:
     return region, step
 
 
-def rank_place(value: Column, edges: Column) -> Column:
-    """How many of the ascending ``edges`` lie below the value, by way of every 32nd."""
-    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(32), F.size(edges), F.lit(32)), lambda i: edges[i - 1]), lambda e: e < value))
-    coarse = F.when(F.size(edges) >= 32, coarse).otherwise(0)
-    near = F.slice(edges, coarse * 32 + 1, F.lit(32))
-    return coarse * 32 + F.size(F.filter(near, lambda e: e < value))
+def edge_place(value: Column, edges: Column) -> Column:
+    """The place of a value among fewer than ``EDGES`` ascending, different edges.
+
+    Place 2 i + 1 is edge i, counted from 0; place 2 i lies below it and above the edge before.
+    The edges are searched by halves.
+    """
+    def further(found: Column, step: Column) -> Column:
+        return found + F.when(F.get(edges, found + step - 1) < value, step).otherwise(0)
+
+    steps = F.array(*[F.lit(EDGES >> k) for k in range(1, EDGES.bit_length())])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        further,
+        lambda i: 2 * i + F.coalesce(F.get(edges, i) == value, F.lit(False)).cast("int"),
+    )
 
 
 def running_total(amount: str, group: WindowSpec, *order: str) -> Column:

@@ -8,7 +8,7 @@ from contextlib import suppress
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,29 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
         return join_null_safe(rows, F.broadcast(stats), keys)
     if not counted:
         rows = rows.groupBy(*[column(k) for k in keys], "value").agg(F.count("*").alias("n"))
+    met = _dealt_join(rows, stats, keys, F.xxhash64("value"))
+    return met.where(F.col("__figures").isNotNull()).select(
+        *[column(c) for c in rows.columns], "__figures.*"
+    )
+
+
+def attach_left(rows: DataFrame, stats: DataFrame, keys: list[str], figure: str) -> DataFrame:
+    """All rows of a table with one ``figure`` of their group, null where it has none.
+
+    ``stats`` is as in :func:`attach`. It is broadcast if it is small; otherwise heavy groups
+    are, and only the rows of the others are shuffled.
+    """
+    if _bytes(stats) <= BROADCAST_BYTES:
+        small = stats.select(*[column(k) for k in keys], F.struct(column(figure)).alias("__figures"))
+        met = left_join_null_safe(rows, F.broadcast(small), keys)
+    else:
+        met = _dealt_join(rows, stats, keys, F.xxhash64(*[column(c) for c in rows.columns]))
+    return met.select(*[column(c) for c in rows.columns], F.col("__figures")[figure].alias(figure))
+
+
+def _dealt_join(rows: DataFrame, stats: DataFrame, keys: list[str], spread: Column) -> DataFrame:
+    """The rows with the struct ``__figures`` of their group, or null. Rows of heavy groups are
+    dealt out by ``spread``."""
     figures = [c for c in stats.columns if c not in keys]
     limit = stats.agg(F.sum("total")).first()[0] * HEAVY_SHARE
     packed = stats.select(
@@ -84,13 +107,12 @@ def attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     light = packed.where(F.col("total") <= limit).drop("total").withColumnRenamed("figures", "__light")
     light = light.withColumn("__salt", F.lit(0).cast("bigint"))
     met = left_join_null_safe(rows, F.broadcast(heavy), keys)
-    # Rows that have their figures are dealt out by value; no light group has their salt.
+    # Rows that have their figures are dealt out; no light group has their salt.
     dealt = F.when(F.col("__heavy").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.xxhash64("value").bitwiseOR(F.lit(1))
+        spread.bitwiseOR(F.lit(1))
     )
     met = left_join_null_safe(met.withColumn("__salt", dealt), light, [*keys, "__salt"])
-    met = met.withColumn("figures", F.coalesce("__heavy", "__light")).where(F.col("figures").isNotNull())
-    return met.select(*[column(c) for c in rows.columns], "figures.*")
+    return met.withColumn("__figures", F.coalesce("__heavy", "__light"))
 
 
 def _bytes(stats: DataFrame) -> int:

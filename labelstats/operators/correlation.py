@@ -3,27 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelstats.functions.expressions import (
     column,
+    edge_place,
     finite_or_fail,
     pearson,
-    rank_place,
     running_total,
 )
-from labelstats.operators.attach import attach, join_null_safe, left_join_null_safe, settle
+from labelstats.operators.attach import attach, join_null_safe, settle
+from labelstats.operators.moments import comoments
 from labelstats.operators.quantiles import sketched_edges
-from labelstats.operators.shape import to_long, union_frames
+from labelstats.operators.shape import to_long
 
-# Ranks are counted in places between this many edges at equal ranks.
+# Ranks are counted in places between this many edges less one, at equal ranks, in large groups;
+# in smaller ones a place has this many rows or more.
 PLACES = 2048
-# Values that hold more than this share of the rows are few; their ranks are broadcast.
-HOT_SHARE = 1 / 2048
-# Pairs of columns whose cells are computed in one aggregation.
+PLACE_ROWS = 16_384
+# Pairs of columns whose cells are computed in one aggregation of built-in functions. Wider
+# matrices are put together from those of the tasks.
 PAIRS = 256
 
 
@@ -53,97 +55,141 @@ def correlation(
         data = df.select(*keyed, *[column(c).cast("double").alias(n) for c, n in zip(cols, names)])
     else:
         data = df.select(*keyed, *[finite_or_fail(c).alias(n) for c, n in zip(cols, names)])
+    wide = len(names) * (len(names) - 1) // 2 > PAIRS
     if method == "spearman":
-        data = _as_ranks(data, keys, names)
-    return _matrix(data, keys, cols, names)
+        ranked = centred_ranks(data, keys, names)
+        moments = comoments(ranked, keys, names, "__m") if wide else _products(ranked, keys, names)
+        return _cells(moments, keys, cols)
+    return _cells(comoments(data, keys, names), keys, cols) if wide else _matrix(data, keys, cols, names)
 
 
 def _matrix(
     data: DataFrame, keys: Sequence[str], cols: Sequence[str], names: Sequence[str]
 ) -> DataFrame:
-    """One aggregation with a cell per pair, mirrored to the full matrix.
-
-    Very wide tables take one aggregation for every ``PAIRS`` pairs, to keep plans small.
-    """
+    """One aggregation with a cell per pair, mirrored to the full matrix."""
     pairs = list(combinations(range(len(names)), 2))
     keyed = [column(k) for k in keys]
-    parts = []
-    for at in range(0, max(1, len(pairs)), PAIRS):
-        some = pairs[at : at + PAIRS]
-        cells = data.groupBy(*keyed).agg(
-            F.count("*").alias("n"),
-            *[pearson(F.col(names[i]), F.col(names[j])).alias(f"r{i}_{j}") for i, j in some],
+    cells = data.groupBy(*keyed).agg(
+        F.count("*").alias("n"),
+        *[pearson(F.col(names[i]), F.col(names[j])).alias(f"r{i}_{j}") for i, j in pairs],
+    )
+    rows = [(i, i) for i in range(len(names))] + pairs + [(j, i) for i, j in pairs]
+    structs = [
+        F.struct(
+            F.lit(cols[i]).alias("x"),
+            F.lit(cols[j]).alias("y"),
+            (F.lit(1.0) if i == j else F.col(f"r{min(i, j)}_{max(i, j)}")).alias("r"),
         )
-        rows = [(i, i) for i in range(len(names))] if at == 0 else []
-        rows += [*some, *[(j, i) for i, j in some]]
-        structs = [
-            F.struct(
-                F.lit(cols[i]).alias("x"),
-                F.lit(cols[j]).alias("y"),
-                (F.lit(1.0) if i == j else F.col(f"r{min(i, j)}_{max(i, j)}")).alias("r"),
-            )
-            for i, j in rows
-        ]
-        parts.append(cells.where(F.col("n") > 0).select(*keyed, F.inline(F.array(*structs))))
-    return union_frames(parts)
-
-
-def _as_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Replace every value by its average rank within its column (and class).
-
-    The ranks of hot values are broadcast, those of the others joined by value; rows with a
-    hot value are dealt out by a hash instead of their value.
-    """
-    ranks = settle(_average_ranks(data, keys, names))
-    few = F.col("n") > F.col("total") * HOT_SHARE
-    spread = F.xxhash64(*[F.col(n) for n in names]).bitwiseOR(F.lit(1))
+        for i, j in rows
+    ]
+    return cells.where(F.col("n") > 0).select(*keyed, F.inline(F.array(*structs)))
+
+
+def _products(ranked: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The ``comoments`` of centred ranks in one aggregation."""
     keyed = [column(k) for k in keys]
-    ranked = data
-    for name in names:
-        own = ranks.where(F.col("feature") == name)
-        hot = own.where(few).select(*keyed, F.col("value").alias(name), F.col("rank").alias("__hot"))
-        cold = own.where(~few).select(
-            *keyed, F.col("value").alias(name), F.lit(0).cast("bigint").alias("__salt"),
-            F.col("rank").alias("__cold"),
-        )
-        ranked = left_join_null_safe(ranked, F.broadcast(hot), [*keys, name])
-        ranked = ranked.withColumn(
-            "__salt", F.when(F.col("__hot").isNull(), F.lit(0).cast("bigint")).otherwise(spread)
-        )
-        ranked = left_join_null_safe(ranked, cold, [*keys, name, "__salt"]).select(
-            *keyed,
-            *[F.coalesce("__hot", "__cold").alias(n) if n == name else F.col(n) for n in names],
+    pairs = list(combinations_with_replacement(range(len(names)), 2))
+    sums = ranked.groupBy(*keyed).agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.col("__m") * F.col(names[i]) * F.col(names[j])).alias(f"p{i}_{j}") for i, j in pairs],
+    )
+    structs = [
+        F.struct(
+            F.lit(i).alias("i"), F.lit(j).alias("j"),
+            *[F.col(f"p{a}_{b}").alias(c) for a, b, c in ((i, i, "xx"), (j, j, "yy"), (i, j, "xy"))],
         )
-    return ranked
+        for i, j in pairs
+    ]
+    return sums.where(F.col("n") > 0).select(*keyed, F.inline(F.array(*structs)))
 
 
-def _average_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """``(keys, feature, value, n, total, rank)`` of the distinct values of all columns.
-
-    One pass counts the values. Their ranks are running totals of the counts, taken inside
-    places that hold about equal shares of the rows, apart from single hot values, and
-    then over the places, so that no column is sorted in one task.
+def _cells(moments: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """The cells of all classes from their ``comoments``, by the columns' numbers."""
+    keyed = [column(k) for k in keys]
+    names = F.array(*[F.lit(c) for c in cols])
+    spread = F.sqrt(F.col("xx")) * F.sqrt(F.col("yy"))
+    r = F.coalesce(F.try_divide(F.col("xy"), spread), F.lit(float("nan")))
+    r = F.when(F.col("i") == F.col("j"), 1.0).otherwise(r)
+    ways = [F.struct(names[F.col(a)].alias("x"), names[F.col(b)].alias("y"), r.alias("r")) for a, b in ("ij", "ji")]
+    both = F.when(F.col("i") == F.col("j"), F.array(ways[0])).otherwise(F.array(*ways))
+    return moments.select(*keyed, F.inline(both))
+
+
+def centred_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``(keys, names, __m)``: average ranks less their mean, for each different row and class
+    once, with the number of its rows.
+
+    The cells are dealt out by class, column and place among edges that a sketch has found
+    at equal ranks, and ranked there. A place that is a single value, as every value of many
+    rows is, needs no ranking: the rows below and in it tell its rank. Its cells are dealt
+    out by their task, so no value, however many rows have it, comes together. How many
+    rows lie below each place is counted first; that, and the edges, are all that is
+    settled: some 4,000 numbers at most for each class and column, fewer for small classes.
+    Rows are put together again by two hashes of all their values, which do not depend on
+    order or partitions; equal rows, which have equal ranks, are one from then on.
+
+    Two shuffles of a row for each cell, and one of whole rows, whatever the number of columns.
     """
+    keyed = [column(k) for k in keys]
+    whole = [*keyed, *[F.col(n) for n in names]]
+    # Adding zero makes one zero of both.
+    data = data.select(*keyed, *[(F.col(n) + F.lit(0.0)).alias(n) for n in names])
+    named = data.select(
+        F.xxhash64(*whole).alias("__id"), F.xxhash64(F.lit(1), *whole).alias("__id2"), *whole
+    )
     group = [*keys, "feature"]
-    keyed = [column(k) for k in group]
-    edges = settle(
-        sketched_edges(data, keys, names, [i / PLACES for i in range(1, PLACES)]).select(
-            *keyed, "total", "edges"
-        )
+    grouped = [column(k) for k in group]
+    cells = to_long(named, ["__id", "__id2", *keys], names).withColumn("n", F.lit(1))
+    edges = settle(_places(sketched_edges(data, keys, names, [i / PLACES for i in range(1, PLACES)]), group))
+    below = settle(_rows_below(attach(cells.select(*grouped, "value", "n"), edges, group), edges, group))
+
+    placed = attach(cells, below, group).withColumn("place", edge_place(F.col("value"), F.col("edges")))
+    single = F.col("place") % 2 == 1
+    placed = placed.select(
+        "__id", "__id2", *grouped, "value", "total", "place", single.alias("single"),
+        F.get("below", "place").alias("start"), F.get("below", F.col("place") + 1).alias("end"),
+        F.when(single, F.spark_partition_id()).otherwise(-1).alias("lane"),
     )
-    values = to_long(data, keys, names).groupBy(*keyed, "value").agg(F.count("*").alias("n"))
-    placed = attach(values, edges, group).select(
-        *keyed, rank_place(F.col("value"), F.col("edges")).alias("place"), "value", "n", "total"
+    here = Window.partitionBy(*grouped, "place", "lane").orderBy("value")
+    upto = F.count("*").over(here.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    first, last = F.col("start") + F.rank().over(here), F.col("start") + upto
+    first = F.when(F.col("single"), F.col("start") + 1).otherwise(first)
+    last = F.when(F.col("single"), F.col("end")).otherwise(last)
+    ranked = placed.select(
+        "__id", "__id2", *grouped, ((first + last) / 2 - (F.col("total") + 1) / 2).alias("rank")
     )
-    places = [*group, "place"]
-    starts = (
-        placed.groupBy(*[column(k) for k in places])
-        .agg(F.sum("n").alias("size"))
-        .withColumn("upto", running_total("size", Window.partitionBy(*keyed), "place"))
-        .select(*[column(k) for k in places], (F.col("upto") - F.col("size")).alias("start"))
+    feature = F.col("feature")
+    return (
+        ranked.groupBy(*keyed, "__id", "__id2")
+        .agg(
+            F.count_if(feature == names[0]).alias("__m"),
+            *[F.max(F.when(feature == n, F.col("rank"))).alias(n) for n in names],
+        )
+        .select(*keyed, *names, "__m")
     )
-    here = Window.partitionBy(*[column(k) for k in places])
-    upto = running_total("n", here, "value")
-    return join_null_safe(placed, starts, places).select(
-        *keyed, "value", "n", "total", (F.col("start") + upto - (F.col("n") - 1) / 2.0).alias("rank")
+
+
+def _places(edges: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``(group, total, edges)`` with every second, fourth, ... of the edges in small groups."""
+    step = F.greatest(F.lit(1), F.ceil(F.lit(PLACES * PLACE_ROWS) / F.col("total"))).cast("int")
+    chosen = F.filter("edges", lambda e, i: (i + 1) % step == 0)
+    return edges.select(*[column(k) for k in group], "total", F.array_distinct(chosen).alias("edges"))
+
+
+def _rows_below(placed: DataFrame, edges: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``(group, total, edges, below)``: the rows below each place, and at last all."""
+    grouped = [column(k) for k in group]
+    place = edge_place(F.col("value"), F.col("edges"))
+    sizes = placed.groupBy(*grouped, place.alias("place")).agg(F.sum("n").alias("size"))
+    # Places without rows are as large as nothing.
+    none = edges.select(*grouped, F.explode(F.sequence(F.lit(0), 2 * F.size("edges"))).alias("place"))
+    sizes = sizes.unionByName(none.withColumn("size", F.lit(0).cast("bigint")))
+    sizes = sizes.groupBy(*grouped, "place").agg(F.sum("size").alias("size"))
+    upto = running_total("size", Window.partitionBy(*grouped), "place")
+    lists = (
+        sizes.select(*grouped, "place", upto.alias("upto"))
+        .groupBy(*grouped)
+        .agg(F.array_sort(F.collect_list(F.struct("place", "upto"))).alias("upto"))
+        .select(*grouped, F.concat(F.array(F.lit(0).cast("bigint")), F.col("upto.upto")).alias("below"))
     )
+    return join_null_safe(edges, lists, group)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -17,6 +19,8 @@ from labelstats.functions.expressions import column
 from labelstats.operators.metrics import PREDICTION, accuracy
 from labelstats.operators.prepare import FEATURES, LABEL, SCALED
 
+POOL = "spark.scheduler.pool"
+
 
 def decision_tree(train: DataFrame, features_col: str = SCALED, **params) -> Model:
     """Gini decision tree."""
@@ -67,15 +71,17 @@ def mlp_sweep(
     layer_lists: Sequence[Sequence[int]],
     features_col: str = FEATURES,
     seed: int = 1,
+    parallelism: int = 4,
     **params,
 ) -> DataFrame:
     """Fit one perceptron per layer list: ``(cycle, layers, accuracy)`` on the test rows.
 
-    All of them score the test rows in one pass."""
-    models = {
-        str(cycle): mlp(train, layers, features_col, seed, **params)
-        for cycle, layers in enumerate(layer_lists, start=1)
-    }
+    ``parallelism`` of them are fitted at the same time, and fill the waits of each other's
+    short jobs. All of them score the test rows in one pass."""
+    fitted = fit_together(
+        train, [lambda layers=layers: mlp(train, layers, features_col, seed, **params) for layers in layer_lists], parallelism
+    )
+    models = {str(cycle): model for cycle, model in enumerate(fitted, start=1)}
     cycle = F.col("model").cast("int")
     lists = F.array(*[F.array(*[F.lit(n) for n in layers]) for layers in layer_lists])
     return accuracy(score_models(models, test), by=["model"]).select(
@@ -83,6 +89,35 @@ def mlp_sweep(
     )
 
 
+def fit_together(train: DataFrame, fits: Sequence[Callable[[], Model]], parallelism: int = 4) -> list[Model]:
+    """The models of all fits, in their order, ``parallelism`` at a time.
+
+    A fit is a chain of many short jobs. Each goes to a scheduler pool of its own, so that a
+    session with fair scheduling shares its cores evenly; without it, jobs take turns. The
+    first fit that fails ends the others that have not begun.
+    """
+    if parallelism < 1:
+        raise ValueError("parallelism must be positive")
+    context = train.sparkSession.sparkContext
+
+    def run(number: int) -> Model:
+        before = context.getLocalProperty(POOL)
+        context.setLocalProperty(POOL, f"fit-{number % parallelism}")
+        try:
+            return fits[number]()
+        finally:
+            context.setLocalProperty(POOL, before)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        tasks = [pool.submit(inheritable_thread_target(train.sparkSession)(run), n) for n in range(len(fits))]
+        try:
+            return [t.result() for t in tasks]
+        except BaseException:
+            for t in tasks:
+                t.cancel()
+            raise
+
+
 def _fit(estimator, train: DataFrame) -> Model:
     """Fit on a kept frame as it is, else on the two columns the estimator reads."""
     if train.storageLevel.useMemory or train.storageLevel.useDisk:

@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from labelstats.functions.expressions import column, hash_fraction
 
+# Classes that a model is prepared for: a row for each reaches the driver.
+MOST_CLASSES = 10_000
+
 LABEL = "label"
 FEATURES = "features"
 SCALED = "scaledFeatures"
@@ -88,8 +91,8 @@ def fit_preparation(
 
     Class frequencies and standard deviations come out of the same scan, on the plain
     columns; the pipeline would scan once per stage, the second time over vectors. One row
-    per class reaches the driver, as in Spark's own indexer: a label column of many
-    different values brings them all.
+    per class reaches the driver, as in Spark's own indexer; more than ``MOST_CLASSES`` are
+    refused. ``index_labels`` numbers any number of classes.
     """
     if handle_invalid not in ("error", "skip"):
         raise ValueError("handle_invalid must be 'error' or 'skip'")
@@ -108,8 +111,11 @@ def fit_preparation(
         df.groupBy(column(label_col).cast("string").alias("class"))
         .agg(F.count("*").alias("n"), *moments)
         .orderBy(F.desc("n"), "class")
+        .limit(MOST_CLASSES + 1)
         .collect()
     )
+    if len(figures) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes; number them with index_labels")
     order = list(label_order) if label_order is not None else [r["class"] for r in figures if r["class"] is not None]
     if not figures or not order:
         raise ValueError("no rows to fit the preparation on")

@@ -104,6 +104,12 @@ def label_index(spark: SparkSession, folder: str) -> DataFrame:
     return indexed.groupBy("event_type", "label").agg(F.count("*").alias("row_count"))
 
 
+def label_index_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as classes, by the number of their lines: as many classes as the table allows."""
+    rows = lineitem(spark, folder).select(*KEYS)
+    return ls.index_labels(rows, "l_orderkey")
+
+
 def _elements(df: DataFrame, vector_col: str) -> DataFrame:
     array = vector_to_array(F.col(vector_col))
     return df.select(*KEYS, *[array[i].alias(f"f{i}") for i in range(len(FEATURES))])
@@ -208,6 +214,7 @@ QUERIES = {
         sensitivity_specificity_pos0,
         model_comparison,
         label_index,
+        label_index_many,
         feature_vector,
         scaled_features,
         hash_split,
@@ -310,6 +317,12 @@ ORACLES = {
                CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS DOUBLE) AS label,
                CAST(count(*) AS BIGINT) AS row_count
         FROM events GROUP BY event_type""",
+    "label_index_many": f"""
+        WITH classes AS (
+            SELECT l_orderkey,
+                   CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(l_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS label
+            FROM lineitem GROUP BY l_orderkey)
+        SELECT {_KEYS}, label FROM lineitem JOIN classes USING (l_orderkey)""",
     "feature_vector": (
         f"SELECT {_KEYS}, " + ", ".join(f"{c} AS f{i}" for i, c in enumerate(FEATURES))
         + " FROM lineitem"

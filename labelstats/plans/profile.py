@@ -221,6 +221,18 @@ def class_correlation_spearman(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(ls.correlation(lineitem(spark, folder), FEATURES, "spearman", by=LABEL), 6)
 
 
+#: Columns of a table that is too wide for one aggregation of built-in functions.
+MIXED = {
+    f"mix{i}": f"l_quantity * {i % 5 + 1} + l_linenumber * {i} + l_discount * {100 * (i % 7)} + l_tax * {1000 * (i % 3)}"
+    for i in range(24)
+}
+
+
+def class_correlation_wide(spark: SparkSession, folder: str) -> DataFrame:
+    rows = lineitem(spark, folder).select(LABEL, *[F.expr(e).alias(c) for c, e in MIXED.items()])
+    return rounded(ls.correlation(rows, list(MIXED), by=LABEL), 6)
+
+
 # Keys and whole tables
 
 
@@ -306,6 +318,7 @@ QUERIES = {
         correlation_all,
         correlation_spearman,
         class_correlation_spearman,
+        class_correlation_wide,
         row_max_lexicographic,
         row_min_lexicographic,
         table_min_max,
@@ -530,6 +543,9 @@ ORACLES = {
     "correlation_all": _corr_sql(FEATURES),
     "correlation_spearman": _ranks_sql(FEATURES, by=False),
     "class_correlation_spearman": _ranks_sql(FEATURES, by=True),
+    "class_correlation_wide": _corr_sql(
+        MIXED, f"(SELECT l_linestatus, {', '.join(f'{e} AS {c}' for c, e in MIXED.items())} FROM lineitem)", by=True
+    ),
     "row_max_lexicographic": f"SELECT {_ROW} FROM lineitem ORDER BY {_ROW_DESC} LIMIT 1",
     "row_min_lexicographic": f"SELECT {_ROW} FROM lineitem ORDER BY {_ROW} LIMIT 1",
     "table_min_max": (

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import threading
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import labelstats as ls
 from labelstats.operators import prepare as prep
+from labelstats.operators.models import fit_together
 from tests.conftest import SENSORS, rows
 
 
@@ -196,3 +200,32 @@ def test_both_parts_come_from_one_frame(sensors):
     sizes = {r["split"]: r["count"] for r in data.rows.groupBy("split").count().collect()}
     assert sizes == {"train": data.train.count(), "test": data.test.count()}
     assert "split" not in data.train.columns
+
+
+def test_fits_run_together_and_keep_their_order(spark):
+    train = spark.range(4)
+    meeting = threading.Barrier(3, timeout=20)
+
+    def fit(name):
+        meeting.wait()  # ends only if three run at the same time
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool").startswith("fit-")
+        return name
+
+    assert fit_together(train, [lambda n=n: fit(n) for n in "abcdef"], 3) == list("abcdef")
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_a_fit_that_fails_ends_the_others(spark):
+    begun = []
+
+    def fit(n):
+        begun.append(n)
+        if n == 0:
+            raise ZeroDivisionError
+        time.sleep(0.2)
+
+    with pytest.raises(ZeroDivisionError):
+        fit_together(spark.range(1), [lambda n=n: fit(n) for n in range(50)], 1)
+    assert len(begun) < 10
+    with pytest.raises(ValueError):
+        fit_together(spark.range(1), [], 0)
