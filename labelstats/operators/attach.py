@@ -8,7 +8,7 @@ from contextlib import suppress
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,13 +21,17 @@ HEAVY_SHARE = 1 / 1000
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a table once and cut its lineage with a reliable checkpoint.
+    """Compute a table once and cut its lineage with a reliable checkpoint in ``checkpoint_folder``."""
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint()
+
 
-    The folder is the cluster's ``spark.checkpoint.dir``. A local session without one gets a
-    folder of its own; a cluster without one is refused. What the application has
-    written there is removed when it ends.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The application's own folder inside the cluster's ``spark.checkpoint.dir``.
+
+    A local session without that setting gets a folder of its own; a cluster without one is
+    refused. What the application has written there is removed when it ends.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,7 +41,7 @@ def settle(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="labelstats-checkpoint-")
         context.setCheckpointDir(folder)
     _remove_at_exit(context)
-    return df.checkpoint()
+    return context.getCheckpointDir()
 
 
 def _remove_at_exit(context) -> None:
