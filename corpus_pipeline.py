@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelstats.llm import neardup, packing, quality, toxicity
+from labelstats.llm import packing, quality, simhash, toxicity
 from labelstats.llm.common import fresh_path, table
 
 
@@ -24,8 +24,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of texts that share 0.8 of their five-word shingles."""
-    return neardup.one_of_each(docs)
+    """One document of each class of texts whose fingerprints of four-word shingles are linked."""
+    return simhash.one_of_each(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
