@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelstats.operators.attach import checkpoint_folder
+
 #: Rows of a batch that Python code works on at a time; a batch holds whole texts.
 BATCH_ROWS = 1024
 #: Bytes of texts in a batch, for code that holds their words; a longer text is one batch.
@@ -22,16 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` where the
-    cluster sets it. A session without it (tests on one machine) gets a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
-    return spark.sparkContext.getCheckpointDir()
+    """The application's own folder below ``spark.checkpoint.dir``, which driver and executors
+    share; it is removed when the application ends. A session on one machine may do without the
+    setting and gets a temporary folder; a cluster without it is refused."""
+    return checkpoint_folder(spark)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -82,30 +82,32 @@ def steps(radius: int) -> list[tuple[int, ...]]:
 
 
 def forest(a: np.ndarray, b: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
-    """Links that connect what is near: within ``a``, or between ``a`` and ``b``."""
-    nodes = a if b is None else np.concatenate([a, b])
-    parent = np.arange(len(nodes))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+    """Links that connect what is near: within ``a``, or between ``a`` and ``b``.
 
+    Near pairs of different trees hook the higher tree to the lowest that it meets, all at once;
+    pairs inside a tree are left out before they are listed."""
+    nodes = a if b is None else np.concatenate([a, b])
+    tree = np.arange(len(nodes))
     links, other, base = [], a if b is None else b, 0 if b is None else len(a)
     rows = max(1, (1 << 20) // max(1, len(other)))
     for at in range(0, len(a), rows):
         part = a[at : at + rows]
-        left, right = np.nonzero(np.bitwise_count(part[:, None] ^ other[None, :]) <= radius)
-        left = left + at
-        if b is None:
-            above = right > left
-            left, right = left[above], right[above]
-        for i, j in zip(left.tolist(), (right + base).tolist()):
-            p, q = root(i), root(j)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                links.append((i, j))
+        near = np.bitwise_count(part[:, None] ^ other[None, :]) <= radius
+        near &= tree[at : at + len(part), None] != tree[None, base : base + len(other)]
+        left, right = np.nonzero(near)
+        left, right = left + at, right + base
+        while len(left):
+            low, high = np.sort([tree[left], tree[right]], axis=0)
+            order = np.lexsort((low, high))
+            first = order[np.flatnonzero(np.diff(high[order], prepend=-1))]
+            links += zip(left[first].tolist(), right[first].tolist())
+            parent = np.arange(len(nodes))
+            parent[high[first]] = low[first]
+            while not np.array_equal(parent, up := parent[parent]):
+                parent = up
+            tree = parent[tree]
+            apart = tree[left] != tree[right]
+            left, right = left[apart], right[apart]
     signed = nodes.view(np.int64)
     return [(int(signed[i]), int(signed[j])) for i, j in links]
 
