@@ -55,6 +55,7 @@ from labelstats.operators.shape import (
     to_wide,
     union_frames,
 )
+from labelstats.operators.states import merge_states, summary_of_state, summary_state
 from labelstats.operators.summary import (
     class_counts,
     class_stat,
@@ -63,9 +64,16 @@ from labelstats.operators.summary import (
     table_min_max,
     table_summary,
 )
-from labelstats.sources.readers import labelled_schema, read_csv, read_table
+from labelstats.sources.readers import (
+    CheckedRows,
+    labelled_schema,
+    read_csv,
+    read_csv_checked,
+    read_table,
+)
 
 __all__ = [
+    "CheckedRows",
     "RANK_ERROR",
     "PLACEHOLDERS",
     "Prepared",
@@ -97,6 +105,7 @@ __all__ = [
     "linear_svc",
     "median_approx_by_class",
     "median_by_class",
+    "merge_states",
     "misclassified",
     "misclassified_counts",
     "missing_counts",
@@ -109,12 +118,15 @@ __all__ = [
     "quantiles_by_class",
     "random_split",
     "read_csv",
+    "read_csv_checked",
     "read_table",
     "row_count",
     "row_extreme",
     "score",
     "score_models",
     "sensitivity_specificity",
+    "summary_of_state",
+    "summary_state",
     "table_min_max",
     "table_summary",
     "to_long",

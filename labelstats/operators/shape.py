@@ -59,9 +59,16 @@ def to_long(
     clash = {name_col, value_col} & set(keys)
     if clash:
         raise ValueError(f"key columns {sorted(clash)} collide with the output columns")
+    return in_common_type(df, keys, feature_cols).unpivot(
+        [column(k) for k in keys], [column(c) for c in feature_cols], name_col, value_col
+    )
+
+
+def in_common_type(df: DataFrame, keys: Sequence[str], feature_cols: Sequence[str]) -> DataFrame:
+    """The keys and features, numbers among the features in the type that holds them all."""
     numeric = set(numeric_features(df))
     common = common_type(df, [c for c in feature_cols if c in numeric])
-    picked = df.select(
+    return df.select(
         *[column(k) for k in keys],
         *[
             (column(c).cast(common) if c in numeric else column(c)).alias(c)
@@ -69,9 +76,6 @@ def to_long(
             if c not in keys
         ],
     )
-    return picked.unpivot(
-        [column(k) for k in keys], [column(c) for c in feature_cols], name_col, value_col
-    )
 
 
 def common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:

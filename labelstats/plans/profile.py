@@ -5,10 +5,13 @@ Each query has an independent SQL statement in ``ORACLES`` under the same name.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import labelstats as ls
+from labelstats.operators.attach import checkpoint_folder
 
 LABEL = "l_linestatus"
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -187,6 +190,36 @@ def boxplot_stats(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(ls.boxplot_stats(rows, LABEL, [*FEATURES, "rebate"]), 6)
 
 
+def class_summary_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of a table from the stored states of its parts."""
+    rows = lineitem(spark, folder)
+    path = f"{checkpoint_folder(spark)}/states-{uuid.uuid4().hex}"
+    for part in range(3):
+        some = rows.where(F.col("l_orderkey") % 3 == part)
+        ls.summary_state(some, LABEL, FEATURES).write.mode("append").parquet(path)
+    merged = ls.merge_states(spark.read.parquet(path))
+    return rounded(ls.summary_of_state(merged, FEATURES))
+
+
+def csv_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums of the good rows of a CSV file that Spark has written with short, long and
+    unparsable records, and the counts of all."""
+    line = F.col("l_linenumber")
+    rows = lineitem(spark, folder)
+    fields = [F.when((line == 3) & (c == "l_quantity"), "many").otherwise(F.col(c).cast("string")) for c in FEATURES]
+    record = F.concat_ws(
+        ",", LABEL, fields[0], *[F.when(line != 5, f) for f in fields[1:]], F.when(line == 6, F.lit("more"))
+    )
+    path = f"{checkpoint_folder(spark)}/csv-{uuid.uuid4().hex}"
+    rows.select(record.alias("value")).write.text(f"{path}/text")
+    schema = ls.labelled_schema(LABEL, FEATURES)
+    found = ls.read_csv_checked(spark, f"{path}/text", schema, f"{path}/checked", header=False)
+    sums = found.rows.groupBy(LABEL).agg(F.count("*").alias("row_count"), F.sum("l_quantity").alias("l_quantity"))
+    kinds = F.when(F.col("record").contains("many"), "unparsable").when(F.col("record").endswith("more"), "long")
+    rejected = found.rejected.groupBy(kinds.otherwise("short").alias(LABEL)).agg(F.count("*").alias("row_count"))
+    return rounded(sums.unionByName(rejected.withColumn("l_quantity", F.lit(None).cast("double"))))
+
+
 # Frequencies
 
 
@@ -303,6 +336,8 @@ QUERIES = {
         exact_integers,
         class_median,
         boxplot_stats,
+        class_summary_merged,
+        csv_rejected,
         missing_null_nan,
         missing_placeholder,
         missing_placeholder_exact,
@@ -543,6 +578,15 @@ ORACLES = {
     "correlation_all": _corr_sql(FEATURES),
     "correlation_spearman": _ranks_sql(FEATURES, by=False),
     "class_correlation_spearman": _ranks_sql(FEATURES, by=True),
+    "class_summary_merged": " UNION ALL ".join(
+        _class_stat_sql(call, tag) for tag, call in (("Mean", "avg"), ("Min", "min"), ("Max", "max"), ("Var", "var_samp"))
+    ),
+    "csv_rejected": """
+        SELECT CASE l_linenumber WHEN 3 THEN 'unparsable' WHEN 5 THEN 'short' WHEN 6 THEN 'long'
+                    ELSE l_linestatus END AS l_linestatus,
+               CAST(count(*) AS BIGINT) AS row_count,
+               round(sum(CASE WHEN l_linenumber NOT IN (3, 5, 6) THEN l_quantity END), 4) AS l_quantity
+        FROM lineitem GROUP BY 1""",
     "class_correlation_wide": _corr_sql(
         MIXED, f"(SELECT l_linestatus, {', '.join(f'{e} AS {c}' for c, e in MIXED.items())} FROM lineitem)", by=True
     ),

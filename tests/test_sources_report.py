@@ -34,6 +34,40 @@ def test_csv_with_given_schema(spark, csv):
         ls.read_csv(spark, csv, swapped).collect()
 
 
+def test_csv_records_that_do_not_fit_are_set_aside(spark, tmp_path):
+    """Short, long and unparsable records, quoted fields, empty ones; two files; one scan."""
+    good = ["a,1.5,2", '"b, quoted",,3', ",,"]
+    bad = ["c,1", "d,1,2,3", "e,one,2", "f,1,2 "]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.csv").write_text("\n".join(["name,x,y y", *good, *bad, ""]))
+    (tmp_path / "in" / "two.csv").write_text("\n".join(["name,x,y y", "z,7,8", ""]))
+    schema = T.StructType(
+        [T.StructField("name", T.StringType()), T.StructField("x", T.DoubleType()), T.StructField("y y", T.IntegerType())]
+    )
+    found = ls.read_csv_checked(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"))
+    assert found.rows.schema.names == ["name", "x", "y y"]
+    assert sorted(map(tuple, found.rows.collect()), key=repr) == sorted(
+        [("a", 1.5, 2), ("b, quoted", None, 3), (None, None, None), ("z", 7.0, 8)], key=repr
+    )
+    rejected = {r["record"]: r["file"].rsplit("/")[-1] for r in found.rejected.collect()}
+    assert rejected == dict.fromkeys(bad, "one.csv")
+    counts = {r["file"].rsplit("/")[-1]: (r["read"], r["rejected"]) for r in found.counts.collect()}
+    assert counts == {"one.csv": (7, 4), "two.csv": (1, 0)}
+    # A record is rejected whatever columns are used; the files are not read again.
+    assert found.rows.select("name").count() == 4
+    for frame in (found.rows, found.rejected, found.counts):
+        assert "csv" not in frame._jdf.queryExecution().executedPlan().toString().split("Location")[0].lower()
+    with pytest.raises(Exception, match="(?i)header"):
+        ls.read_csv_checked(spark, str(tmp_path / "in"), T.StructType(schema.fields[::-1]), str(tmp_path / "no"))
+
+
+def test_csv_without_records(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("name\n")
+    schema = T.StructType([T.StructField("name", T.StringType())])
+    found = ls.read_csv_checked(spark, str(tmp_path / "empty.csv"), schema, str(tmp_path / "out"))
+    assert [f.count() for f in (found.rows, found.rejected, found.counts)] == [0, 0, 0]
+
+
 def test_report(spark, csv):
     df = ls.read_csv(spark, csv)
     tables = describe(df, "Status")

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import math
+import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 import labelstats as ls
 from labelstats.functions.expressions import place
-from labelstats.operators import attach, quantiles
+from labelstats.operators import attach, frequency, quantiles
 from tests.conftest import SENSORS, rows
 
 doubles = st.floats(allow_nan=False, allow_infinity=False)
@@ -325,3 +327,68 @@ def test_extreme_rows_compare_left_to_right(spark):
     assert rows(ls.row_extreme(df, df.columns, "min")) == [("A", 9, 1)]
     with pytest.raises(ValueError):
         ls.row_extreme(df, df.columns, "most")
+
+
+# Modes by sketches
+
+
+def brute_modes(rows, cols, ignore_nulls):
+    out = {}
+    for label in {r[0] for r in rows}:
+        for i, c in enumerate(cols):
+            counts = Counter(0.0 if r[i + 1] == 0 else r[i + 1] for r in rows if r[0] == label)
+            if ignore_nulls:
+                counts.pop(None, None)
+            if counts:
+                out[label, c] = min(counts, key=lambda v: (-counts[v], v is None, v if v is not None else 0))
+    return out
+
+
+@pytest.mark.parametrize("ignore_nulls", [False, True])
+@pytest.mark.parametrize("tracked, shown", [(10_000, 64), (8, 3)])
+def test_modes_of_heavy_and_flat_columns(spark, monkeypatch, tracked, shown, ignore_nulls):
+    """Sketches that see all values, and sketches that lose most of them."""
+    monkeypatch.setattr(frequency, "TRACKED", tracked)
+    monkeypatch.setattr(frequency, "SHOWN", shown)
+    monkeypatch.setattr(frequency, "ERROR", 3.5 / 8192 if tracked > 8 else 3.5 / 8)
+    rng = random.Random(tracked)
+
+    def row(i):
+        heavy = 7.0 if rng.random() < 0.2 else float(rng.randint(0, 3000))
+        tied = rng.choice([3.0, 5.0]) if i % 2 else float(i)
+        null = None if rng.random() < 0.5 else float(rng.randint(0, 9))
+        zero = rng.choice([0.0, -0.0, 1.0])
+        return (rng.choice(["a", "a", "a", "b", None]), heavy, float(rng.randint(0, 10**6)), tied, null, zero)
+
+    rows = [row(i) for i in range(6000)]
+    cols = ["heavy", "flat", "tied", "null", "zero"]
+    df = spark.createDataFrame(rows, "k string, " + ", ".join(f"{c} double" for c in cols)).repartition(4)
+    found = {(r["k"], r["feature"]): r["mode"] for r in ls.mode_by_class(df, "k", cols, ignore_nulls).collect()}
+    assert found == brute_modes(rows, cols, ignore_nulls)
+
+
+def test_second_pass_of_modes_counts_few_values(spark):
+    """A hot value among mostly different ones: only what can be a mode is counted."""
+    df = spark.range(200_000).select(
+        (F.col("id") % 2).cast("string").alias("k"),
+        F.when(F.col("id") % 100 < 3, F.lit(-1)).otherwise(F.col("id")).alias("hot"),
+        F.col("id").alias("flat"),
+        F.when(F.col("id") % 10 < 1, F.concat(F.lit("v"), F.col("id") % 3)).alias("text"),
+    )
+    possible = {(r["k"], r["feature"]): r for r in frequency.possible_modes(df, "k", ["hot", "flat"]).collect()}
+    for k in "01":
+        assert not possible[k, "hot"]["open"] and possible[k, "hot"]["items"] == [-1]
+        assert possible[k, "flat"]["open"]
+    texts = frequency.possible_modes(df, "k", ["text"]).collect()
+    assert all(not r["open"] and r["items"] == [] and r["null_possible"] for r in texts)
+    plan = ls.mode_by_class(df, "k", ["hot"])._jdf.queryExecution().executedPlan().toString()
+    assert "array_contains" in plan and "BroadcastHashJoin" in plan
+    modes = {(r["k"], r["feature"]): r["mode"] for r in ls.mode_by_class(df, "k", ["hot", "flat"]).collect()}
+    assert modes == {("0", "hot"): -1, ("1", "hot"): -1, ("0", "flat"): 0, ("1", "flat"): 1}
+
+
+def test_tables_of_many_classes_are_counted_in_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(frequency, "CLASSES", 3)
+    df = spark.createDataFrame([(i % 5, i % 2) for i in range(50)], "k int, v int")
+    assert frequency.possible_modes(df, "k", ["v"]) is None
+    assert {(r["k"], r["mode"]) for r in ls.mode_by_class(df, "k", ["v"]).collect()} == {(i, 0) for i in range(5)}
