@@ -4,13 +4,14 @@ Writing gives two Parquet tables in one folder. ``payloads`` has every different
 once under its SHA-256; ``headers`` has each record's header block, byte for byte, and the
 digest of its payload. Of records with equal payloads of at least ``SHORTEST_REVISIT`` bytes
 that with the smallest key is the response; the others are revisits that name it. Reading
-joins both tables again, recomputes every payload's digest and fails if one is not that it
-is stored under; equal digests with unequal lengths or checksums fail on writing.
-``records`` puts whole WARC records together, ``export`` writes them as files.
+joins both tables again, which gives every record its payload back, and computes length and
+digest of that; a digest that is not the header's is refused, as are equal digests with
+unequal lengths or checksums on writing. ``records`` puts whole WARC records together,
+``export`` writes them as files.
 
-All of it is DataFrame functions. Payloads are shuffled once, to be stored once; the join on
-reading moves digests and headers only, unless the payload itself is asked for. A payload
-shared by many records is one row against a hot key, which Spark's skew join splits.
+All of it is DataFrame functions. Payloads are shuffled once to be stored once, and once more
+to be joined to the headers. A payload shared by many records is one row against a hot key,
+which Spark's skew join splits.
 
 Defined results: a null payload is empty; a null url gives an empty target; a null key is
 never the smallest, and revisits of payloads without any key refer to null; rows that repeat
@@ -104,21 +105,13 @@ def write_archive(
     )
     # Copies within a task become one row before the shuffle.
     payloads = rows.select("digest", "payload").dropDuplicates(["digest"])
-    payloads.write.parquet(f"{folder}/payloads")
+    payloads.write.option("compression", "zstd").parquet(f"{folder}/payloads")
     return folder
 
 
 def read_archive(spark: SparkSession, folder: str, key_type: str = "long") -> DataFrame:
     """Every record: key, header, type, refers_to, digest, bytes and the full payload."""
     stored = spark.read.parquet(f"{folder}/payloads")
-    found = F.sha2("payload", 256)
-    stored = stored.select(
-        F.when(found == F.col("digest"), F.col("digest"))
-        .otherwise(F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest"))))
-        .alias("digest"),
-        F.octet_length("payload").cast("long").alias("bytes"),
-        "payload",
-    )
     heads = spark.read.parquet(f"{folder}/headers")
 
     def read(name: str, pattern: str) -> Column:
@@ -127,13 +120,19 @@ def read_archive(spark: SparkSession, folder: str, key_type: str = "long") -> Da
     def ident(name: str) -> Column:
         return F.nullif(read(name, f"<{RECORD_ID}([^>]*)>"), F.lit("")).cast(key_type)
 
-    return heads.select(
+    rebuilt = heads.join(stored, "digest").withColumn("found", F.sha2("payload", 256))
+    damaged = F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest")))
+    return rebuilt.select(
         ident("WARC-Record-ID").alias("key"),
         "header",
         read("WARC-Type", "([a-z]+)").alias("record_type"),
         ident("WARC-Refers-To").alias("refers_to"),
-        read("WARC-Payload-Digest", "sha256:([0-9a-f]+)").alias("digest"),
-    ).join(stored, "digest")
+        F.when(F.col("found") == read("WARC-Payload-Digest", "sha256:([0-9a-f]+)"), F.col("found"))
+        .otherwise(damaged)
+        .alias("digest"),
+        F.octet_length("payload").cast("long").alias("bytes"),
+        "payload",
+    )
 
 
 def records(archive: DataFrame) -> DataFrame:

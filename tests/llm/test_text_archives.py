@@ -175,6 +175,15 @@ def test_archive_stores_once_and_gives_back(spark, tmp_path):
     )
 
 
+def test_archive_query_rebuilds_records(spark):
+    """The payload itself goes through the join, and its digest is that of what comes out."""
+    plan = warc.op4(pages_of(spark))._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join Inner" in line)
+    assert "sha2(payload" in "".join(lines[:join]) and "octet_length(payload" in "".join(lines[:join])
+    assert "payload" in "".join(line for line in lines[join:] if "Relation" in line)
+
+
 def test_archive_notices_damage(spark, tmp_path):
     folder = warc.write_archive(pages_of(spark), str(tmp_path / "a"))
     bad = spark.read.parquet(f"{folder}/payloads").withColumn("payload", F.encode(F.lit("other"), "UTF-8"))
