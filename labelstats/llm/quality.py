@@ -3,10 +3,11 @@
 Every word form and every word shape has a fixed random index vector with a few entries of
 one and minus one. The vector of a form adds up the index vectors of what stands beside it in
 all documents: one pass over whole texts, pre-aggregated in each task, then summed by form.
-Forms are hashed to ``FORMS`` numbers, so the table has a fixed size. A document is the mean of
-its forms' vectors, each scaled to length one, weighted by rarity; a two-layer network in numpy
-reads it, and a temperature fitted to texts that the network did not learn from makes its
-outputs probabilities.
+Forms are hashed to ``FORMS`` numbers, so that the table, which all tasks read, has a proven
+size; ``mixed_share`` measures how many words share their number with a more frequent form. A
+document is the mean of its forms' vectors, each scaled to length one, weighted by rarity; a
+two-layer network in numpy reads it, and a temperature fitted to texts that the network did
+not learn from makes its outputs probabilities.
 
 A word counts twice: in lower case without its edges, and as a shape, which keeps case, digits
 and marks, runs once each, and notes a repetition of the word before.
@@ -20,8 +21,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -31,8 +34,8 @@ from pyspark.sql import functions as F
 
 from labelstats.llm.common import key_remainder, labelled_sample, small_batches, texts_of
 
-#: Numbers that word forms, and as many that shapes, are hashed to.
-FORMS = 4096
+#: Numbers that word forms, and those that shapes, are hashed to: a table of 34 MB.
+FORMS, SHAPES = 1 << 18, 1 << 12
 DIMENSIONS = 32
 #: Entries of an index vector that are not zero.
 ENTRIES = 4
@@ -64,18 +67,22 @@ def shape_of(word: str) -> str:
     if word.isalpha():
         return letters_shape(word)
     word = LETTERS.sub(lambda m: letters_shape(m[0]), word)
-    return MARKS.sub(lambda m: m[1] * 2, DIGITS.sub("0", word))[:8]
+    return MARKS.sub(lambda m: m[1] * 2, DIGITS.sub("0", word))
 
 
-def hashed(kind: str, form: str) -> int:
-    return zlib.crc32(f"{kind}{form}".encode()) % FORMS
+def hashed(kind: str, form: str, numbers: int) -> int:
+    return zlib.crc32(f"{kind}{form}".encode()) % numbers
 
 
-def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of the entries of every index vector, forms first, then shapes."""
+@lru_cache(maxsize=1)
+def index_vectors() -> np.ndarray:
+    """The index vectors of all numbers, forms first, then shapes."""
     draw = np.random.default_rng(7)
-    places = np.array([draw.choice(DIMENSIONS, ENTRIES, replace=False) for _ in range(2 * FORMS)])
-    return places, draw.choice([-1.0, 1.0], size=places.shape)
+    size = FORMS + SHAPES
+    places = np.argpartition(draw.random((size, DIMENSIONS), np.float32), ENTRIES, axis=1)[:, :ENTRIES]
+    vectors = np.zeros((size, DIMENSIONS), np.int8)
+    np.put_along_axis(vectors, places, draw.choice(np.array([-1, 1], np.int8), places.shape), axis=1)
+    return vectors
 
 
 class Words:
@@ -92,55 +99,60 @@ class Words:
             known.clear()
         for w in set().union(*groups).difference(known):
             # A shape has a number for a first and one for a repeated word.
-            first, again = hashed("s", shape_of(w)), hashed("r", shape_of(w))
-            known[w] = (hashed("w", w.lower().strip(EDGES)) * FORMS + first) * FORMS + again
+            shape = shape_of(w)
+            first, again = hashed("s", shape, SHAPES), hashed("r", shape, SHAPES)
+            known[w] = (hashed("w", w.lower().strip(EDGES), FORMS) * SHAPES + first) * SHAPES + again
         counts = np.array([len(g) for g in groups], np.int64)
         packed = np.fromiter(
             map(known.__getitem__, chain.from_iterable(groups)), np.int64, int(counts.sum())
         )
         starts = np.concatenate([[0], np.cumsum(counts)])
-        forms = packed // FORMS**2
+        forms = packed // SHAPES**2
         repeated = np.zeros(len(packed), bool)
         repeated[1:] = forms[1:] == forms[:-1]
         repeated[starts[:-1][counts > 0]] = False
-        shapes = np.where(repeated, packed % FORMS, packed // FORMS % FORMS) + FORMS
+        shapes = np.where(repeated, packed % SHAPES, packed // SHAPES % SHAPES) + FORMS
         return forms, shapes, starts
 
 
-def add_contexts(table: np.ndarray, numbers: np.ndarray, starts: np.ndarray, index: tuple) -> None:
+def add_contexts(table: np.ndarray, numbers: np.ndarray, starts: np.ndarray) -> None:
     """Add to each row of the table the index vectors of the words beside it; the last column
     counts the words."""
-    places, signs = index
-    width = table.shape[1]
     text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    flat = table.reshape(-1)
-    for step in range(1, REACH + 1):
-        near = text[:-step] == text[step:]
-        a, b = numbers[:-step][near], numbers[step:][near]
-        for entry in range(ENTRIES):
-            for own, other in ((a, b), (b, a)):
-                flat += np.bincount(own * width + places[other, entry], signs[other, entry], len(flat))
-    table[:, -1] += np.bincount(numbers, minlength=len(table))
+    for at in range(0, len(numbers), CHUNK):
+        first, last = max(0, at - REACH), at + CHUNK + REACH
+        own, part = numbers[first:last], text[first:last]
+        vectors = index_vectors()[own]
+        context = np.zeros_like(vectors)  # no more than 2 * REACH in size
+        for step in range(1, REACH + 1):
+            near = (part[:-step] == part[step:])[:, None]
+            context[step:] += vectors[:-step] * near
+            context[:-step] += vectors[step:] * near
+        inner = slice(at - first, at - first + CHUNK)
+        own, context = own[inner], context[inner]
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        groups = np.flatnonzero(np.diff(own, prepend=-1))
+        table[own[groups], :-1] += np.add.reduceat(context[order], groups, axis=0, dtype=np.int64)
+        table[own[groups], -1] += np.diff(groups, append=len(own))
 
 
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """A row for each form and shape: its context vector and, last, its count. All documents
     take part; a task sends the rows of its own table, which are then summed by number."""
     width = DIMENSIONS + 1
+    names = ["number", *(f"v{d}" for d in range(width))]
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, index, table = Words(), index_vectors(), np.zeros((2 * FORMS, width))
+        words, table = Words(), np.zeros((FORMS + SHAPES, width), np.int64)
         for batch in small_batches(batches):
             forms, shapes, starts = words.numbers(texts_of(batch, "text"))
             for numbers in (forms, shapes):
-                if len(numbers):
-                    add_contexts(table, numbers, starts, index)
+                add_contexts(table, numbers, starts)
         used = np.flatnonzero(table[:, -1])
-        values = np.rint(table[used]).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used, pa.int64()), *(pa.array(values[:, d]) for d in range(width))],
-            ["number", *(f"v{d}" for d in range(width))],
-        )
+        for at in range(0, len(used), CHUNK):
+            some = used[at : at + CHUNK]
+            yield pa.RecordBatch.from_arrays([pa.array(some), *map(pa.array, table[some].T.copy())], names)
 
     schema = "number long, " + ", ".join(f"v{d} long" for d in range(width))
     sums = (
@@ -150,12 +162,30 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
         .groupBy("number")
         .agg(*[F.sum(f"v{d}").alias(f"v{d}") for d in range(width)])
     )
-    table = np.zeros((2 * FORMS, width))
-    for row in sums.collect():  # at most two rows for each number
-        table[row[0]] = row[1:]
+    table = np.zeros((FORMS + SHAPES, width))
+    found = sums.select(names).toArrow()  # a row for each number at most
+    table[found.column("number").to_numpy()] = np.stack([found.column(n).to_numpy() for n in names[1:]], axis=1)
     return table
 
 
+def mixed_share(docs: DataFrame, text: str = "text") -> float:
+    """The share of all words whose form is not the most frequent one of its number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            found = Counter(w.lower().strip(EDGES) for t in texts_of(batch, "text") for w in t.split())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([hashed("w", f, FORMS) for f in found], pa.int64()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
+                ["number", "form", "n"],
+            )
+
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(run, "number long, form string, n long")
+    counts = counts.groupBy("number", "form").agg(F.sum("n").alias("n"))
+    shares = counts.groupBy("number").agg(F.sum("n").alias("all"), F.max("n").alias("most"))
+    row = shares.agg(F.sum("all"), F.sum("most")).first()
+    return 1 - row[1] / row[0] if row[0] else 0.0
+
+
 @dataclass
 class Network:
     vectors: np.ndarray  # of forms and shapes, scaled and weighted
