@@ -4,7 +4,9 @@ The kernel of two terms counts their common subsequences of three letters, each
 ``DECAY`` to the power of the length it spans in either term, and is normalized. Letters put
 in or left out cost a little and destroy nothing; marks between letters only widen the span.
 The machine works on Nyström features: similarities to ``LANDMARKS`` terms, whitened by the
-landmarks' own kernel matrix.
+landmarks' own kernel matrix. Every letter of every script counts as itself; what is no letter is
+a gap. Letters that stand alone in a row, whatever white space and marks lie between them, are
+a term too; a word cut in two by white space is two terms.
 
 Sentences inherit the label of their text. A sentence scores as its most toxic term and a
 text as its most toxic sentence, so training takes turns: it learns a machine from terms of
@@ -13,7 +15,8 @@ highest in each toxic text and the terms that tell toxic texts apart; what score
 clean texts joins the clean examples. A logistic curve fitted to the training texts makes scores of margins.
 
 Since all landmarks' kernels are sums over three-letter subsequences, a trained machine is one
-table of weights by three letters; scoring sums weights over a term's subsequences.
+list of weights by three letters of the landmarks; scoring sums weights over a term's
+subsequences. Other letters have no weight, but are part of a term's norm.
 
 Defined results: null and empty texts and texts without a term of three letters score as the
 bare bias, low. Terms longer than ``WINDOW`` are seen through overlapping windows, so nothing
@@ -24,9 +27,10 @@ share of toxic labels, 0 without labels. Columns other than key and text are nev
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -47,16 +51,19 @@ TURNS = 6
 TELLING = 1.8
 ALIKE = 3
 WINDOW = 20
-#: Letters with a code of their own; all other characters are gaps.
-LETTERS = 48
 GAP = 0
+#: Letters that no landmark has are coded by their code points above this number.
+OTHER = 1 << 12
+#: Weights by three letters are a table up to so many entries, and a sorted list beyond.
+TABLE = 1 << 21
 #: Terms that a worker remembers before it starts anew.
 REMEMBERED = 400_000
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "“”‘’«»„…–—¡¿"
 # Signs that stand for letters inside a word.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-SPELLED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+#: Single letters, or signs that stand for them, with white space between them, and marks maybe.
+SPELLED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!])(?:[^\w@$!]*\s[^\w@$!]*(?:[^\W_]|[@$!])){2,}(?![^\W_])")
 
 
 def terms(text: str) -> set[str]:
@@ -64,7 +71,7 @@ def terms(text: str) -> set[str]:
     text = text.lower()
     found = set(text.split())
     for run in SPELLED.findall(text):
-        found.add("".join(run.split()))
+        found.add("".join(c for c in run if c.isalnum() or c in LOOKALIKES))
     return found
 
 
@@ -86,16 +93,57 @@ def self_or_cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Codes(dict):
-    """Codes of characters; those without one are gaps."""
+    """Codes of characters: letters of landmarks from 1, other letters above ``OTHER``, and gaps."""
 
-    def __missing__(self, _: int) -> int:
-        return GAP
+    def __init__(self, letters: list[str]) -> None:
+        super().__init__({ord(c): i + 1 for i, c in enumerate(letters)})
+        self.size = len(letters) + 1
+
+    def __missing__(self, point: int) -> int:
+        letter = LOOKALIKES.get(chr(point), chr(point))
+        code = GAP
+        if ord(letter) != point:
+            code = self[ord(letter)]
+        elif letter.isalpha():
+            code = OTHER + point
+        self[point] = code
+        return code
+
+    def __reduce__(self) -> tuple:
+        return Codes, ([chr(p) for p, code in sorted(self.items(), key=lambda i: i[1]) if 0 < code < self.size and chr(p) not in LOOKALIKES],)
+
+
+@dataclass
+class Weights:
+    """A number for each three codes of landmarks' letters, zero for most."""
+
+    size: int
+    keys: np.ndarray
+    values: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.table = None
+        if self.size**3 <= TABLE:
+            self.table = np.zeros(self.size**3)
+            self.table[self.keys] = self.values
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[keys]
+        if not len(self.keys):
+            return np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.values[at], 0.0)
+
+
+def no_weights(size: int) -> Weights:
+    return Weights(size, np.zeros(0, np.int64), np.zeros(0))
 
 
 @dataclass
 class Machine:
-    codes: dict[int, int]  # character to code
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by three codes
+    codes: Codes
+    weights: Weights = field(default_factory=lambda: no_weights(1))
     bias: float = -1.0
     slope: float = 0.0
     middle: float = 0.0
@@ -103,9 +151,9 @@ class Machine:
 
     def matrices(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places in ``words``, codes) of the windows of words, by length."""
-        by_length: dict[int, tuple[list[int], list[bytes]]] = {}
+        by_length: dict[int, tuple[list[int], list[str]]] = {}
         for place, word in enumerate(words):
-            coded = word.strip(EDGES).translate(self.codes).encode("latin-1")
+            coded = word.strip(EDGES).translate(self.codes)
             size = len(coded)
             starts = range(0, max(1, size - WINDOW // 2), WINDOW // 2) if size > WINDOW else (0,)
             for s in starts:
@@ -115,7 +163,8 @@ class Machine:
                     places.append(place)
                     parts.append(part)
         for size, (places, parts) in by_length.items():
-            matrix = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, size)
+            coded = "".join(parts).encode("utf-32-le", "surrogatepass")
+            matrix = np.frombuffer(coded, "<u4").reshape(-1, size)
             for at in range(0, len(places), 8192):
                 yield np.array(places[at : at + 8192]), matrix[at : at + 8192]
 
@@ -127,11 +176,12 @@ class Machine:
         """The machine's value for each word: the largest over its windows."""
         out = np.full(len(words), -np.inf)
         for places, m, norm in self.prepared(words) if prepared is None else prepared:
-            wide, size = m.astype(np.int64), m.shape[1]
+            letters, size = self.codes.size, m.shape[1]
+            wide = np.where(m < letters, m, GAP).astype(np.int64)
             total = np.zeros(len(m))
             for i in range(size - 2):
                 for j in range(i + 1, size - 1):
-                    first = (wide[:, i] * (LETTERS + 1) + wide[:, j]) * (LETTERS + 1)
+                    first = (wide[:, i] * letters + wide[:, j]) * letters
                     for k in range(j + 1, size):
                         total += DECAY ** (k - i + 1) * self.weights[first + wide[:, k]]
             value = np.divide(total, norm, out=np.zeros_like(total), where=norm > 0)
@@ -201,11 +251,7 @@ def logistic_curve(margins: np.ndarray, labels: np.ndarray) -> tuple[float, floa
 def fit(examples: list[tuple[int, str]]) -> Machine:
     labels = np.array([y for y, _ in examples])
     groups = [sorted(terms(t)) for _, t in examples]
-    letters = Counter("".join(LOOKALIKES.get(c, c) for g in groups for w in g for c in w if c.isalpha()))
-    own = {ord(c): i + 1 for i, (c, _) in enumerate(sorted(letters.items(), key=lambda i: (-i[1], i[0]))[:LETTERS])}
-    own |= {ord(a): own[ord(b)] for a, b in LOOKALIKES.items() if ord(b) in own}
-
-    machine = Machine(Codes(own), np.zeros((LETTERS + 1) ** 3))
+    machine = Machine(Codes([]))
     if len(set(labels.tolist())) < 2:
         share = float(labels.mean()) if len(labels) else 0.0
         machine.middle = float(np.log((share + 1e-15) / (1 - share + 1e-15)))
@@ -239,6 +285,8 @@ def fit(examples: list[tuple[int, str]]) -> Machine:
             landmarks.append(w)
             alike[best[w][1]] += 1
     landmarks += usual[: LANDMARKS // 2]
+    letters = {LOOKALIKES.get(c, c) for w in landmarks for c in w}
+    machine.codes = Codes(sorted(c for c in letters if c.isalpha()))
     marks = machine.prepared(landmarks)
 
     def gram(words: list[str]) -> np.ndarray:
@@ -271,7 +319,7 @@ def fit(examples: list[tuple[int, str]]) -> Machine:
         up, down = np.array([*counted.values()], float), np.array([clean[w] for w in good], float)
         down = np.maximum(down, down.mean())  # hard examples are rare words
         w = support_vectors(x, y, 100 * np.concatenate([up / up.sum(), down / down.sum()]))
-        machine.weights, machine.bias = table_of(machine, landmarks, whiten @ w[:-1]), float(w[-1])
+        machine.weights, machine.bias = weights_of(machine, landmarks, whiten @ w[:-1]), float(w[-1])
         machine.scores = dict(zip(every_word, machine.margins(every_word, prepared).tolist()))
         before, highest = highest, [max(g, key=lambda t: (machine.scores[t], t)) for g in toxic_groups]
         hard = {max(g, key=lambda t: (machine.scores[t], t)) for g in clean_groups}
@@ -285,21 +333,19 @@ def fit(examples: list[tuple[int, str]]) -> Machine:
     return machine
 
 
-def table_of(machine: Machine, landmarks: list[str], alpha: np.ndarray) -> np.ndarray:
+def weights_of(machine: Machine, landmarks: list[str], alpha: np.ndarray) -> Weights:
     """Weights by three letters that give the sum of all landmarks' kernels."""
-    weights = np.zeros((LETTERS + 1) ** 3)
+    size, sums = machine.codes.size, defaultdict(float)
     for places, m in machine.matrices(landmarks):
         norm = np.sqrt(self_or_cross(m, m))
-        for p, row, size in zip(places.tolist(), m.astype(np.int64), norm.tolist()):
-            if not size:
+        for p, row, length in zip(places.tolist(), m.tolist(), norm.tolist()):
+            if not length:
                 continue
-            for i in range(len(row) - 2):
-                for j in range(i + 1, len(row) - 1):
-                    for k in range(j + 1, len(row)):
-                        if row[i] and row[j] and row[k]:
-                            at = (row[i] * (LETTERS + 1) + row[j]) * (LETTERS + 1) + row[k]
-                            weights[at] += alpha[p] / size * DECAY ** (k - i + 1)
-    return weights
+            for i, j, k in combinations(range(len(row)), 3):
+                if row[i] and row[j] and row[k]:
+                    sums[(row[i] * size + row[j]) * size + row[k]] += alpha[p] / length * DECAY ** (k - i + 1)
+    keys = np.array(sorted(sums), np.int64)
+    return Weights(size, keys, np.array([sums[k] for k in keys.tolist()]))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: F.Column | None = None) -> Machine:

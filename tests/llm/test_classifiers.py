@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import zlib
 
 import numpy as np
@@ -88,22 +89,88 @@ def test_machine_tolerates_inserted_and_spaced_letters(examples):
     assert machine.probabilities(["x" * 500 + "blockhead" + "x" * 500])[0] > machine.probabilities(["x" * 1000])[0]
 
 
+def test_spelled_words_are_terms():
+    for text in ("b l o c k", "so b  l  o  c  k.", "b. l. o. c. k.", "b\nl\no\nc\nk", "x, (b - l - o - c - k)"):
+        assert any("block" in t for t in toxicity.terms(text)), text
+    assert toxicity.terms("a b is 1 2 c no") == {"a", "b", "is", "1", "2", "c", "no", "12c"}
+
+
+def test_machine_reads_letters_spelled_apart(examples):
+    docs, labels = examples
+    machine = toxicity.train(docs, labels)
+    split = ["b l o c k h e a d", "b  l  o  c  k  h  e  a  d", "b. l. o. c. k. h. e. a. d.", "b\nl\no\nc\nk\nh\ne\na\nd"]
+    assert min(machine.probabilities([f"ranetho {s} elstimar" for s in split])) > 0.5
+
+
+@pytest.mark.parametrize("table", [1 << 21, 0])
+def test_letters_of_rare_scripts_count(monkeypatch, table):
+    """Toxic words of a script that one text in five has, among texts of more letters than a
+    byte can tell apart; weights as a table and as a list."""
+    monkeypatch.setattr(toxicity, "TABLE", table)
+    rng = np.random.default_rng(4)
+    scripts = [("а", 32, "дурачина"), ("α", 24, "ηλίθιος"), ("一", 400, "混蛋蠢货猪头"), ("a", 26, "blockhead"), ("ა", 33, "სულელი")]
+
+    def word(first, size):
+        return "".join(chr(ord(first) + c) for c in rng.integers(0, size, rng.integers(3, 8)))
+
+    rows = []
+    for i in range(400):
+        first, size, bad = scripts[i % 5]
+        words = [word(first, size) for _ in range(40)]
+        toxic = i % 3 == 0
+        if toxic:
+            words[rng.integers(0, 40)] = bad
+        rows.append((int(toxic), " ".join(words)))
+    machine = toxicity.fit(rows[:300])
+    assert machine.codes.size > 49
+    again = pickle.loads(pickle.dumps(machine))
+    scores = again.probabilities([t for _, t in rows[300:]])
+    assert np.mean([(s >= 0.5) == y for s, (y, _) in zip(scores, rows[300:])]) >= 0.95
+    for _, _, bad in scripts:
+        inside = again.probabilities([f"{bad[:2]}-{bad[2:]}", " ".join(bad), bad])
+        assert min(inside) > 0.5, bad
+
+
 def test_shapes():
-    assert [quality.shape_of(w) for w in ("word", "Word", "WORD", "I", "no.5!!!", "|", "$$$")] == [
-        "a", "Aa", "A", "A", "a.0!!", "|", "$$"
+    assert [quality.shape_of(w) for w in ("word", "Word", "WORD", "I", "no.5!!!", "|", "$$$", "a-b_C.1/2;3:x=y")] == [
+        "a", "Aa", "A", "A", "a.0!!", "|", "$$", "a-a_A.0/0;0:a=a"
     ]
 
 
-def test_contexts_count_neighbours_within_texts():
+def test_contexts_count_neighbours_within_texts(monkeypatch):
+    """Also where a text is worked off in parts."""
     words, index = quality.Words(), quality.index_vectors()
-    forms, _, starts = words.numbers(["a b c", "", "a"])
-    table = np.zeros((2 * quality.FORMS, quality.DIMENSIONS + 1))
-    quality.add_contexts(table, forms, starts, index)
-    a, b, c = forms[:3]
-    want = np.zeros(quality.DIMENSIONS)
-    for other in (b, c):
-        want[index[0][other]] += index[1][other]
-    assert np.allclose(table[a, :-1], want) and table[a, -1] == 2 and table[:, -1].sum() == 4
+    texts = ["a b c", "", "a", "b a a c a b b", "x y z " * 9]
+    forms, shapes, starts = words.numbers(texts)
+    for chunk in (1 << 16, 4):
+        monkeypatch.setattr(quality, "CHUNK", chunk)
+        for numbers in (forms, shapes):
+            table = np.zeros((quality.FORMS + quality.SHAPES, quality.DIMENSIONS + 1), np.int64)
+            quality.add_contexts(table, numbers, starts)
+            want = np.zeros_like(table)
+            for a, b in zip(starts, starts[1:]):
+                for i in range(a, b):
+                    want[numbers[i], -1] += 1
+                    for j in range(max(a, i - quality.REACH), min(b, i + quality.REACH + 1)):
+                        if j != i:
+                            want[numbers[i], :-1] += index[numbers[j]]
+            assert np.array_equal(table, want)
+
+
+def test_word_vectors_equal_one_pass(spark, awkward, awkward_rows):
+    words, want = quality.Words(), np.zeros((quality.FORMS + quality.SHAPES, quality.DIMENSIONS + 1), np.int64)
+    forms, shapes, starts = words.numbers([r[1] or "" for r in awkward_rows])
+    for numbers in (forms, shapes):
+        quality.add_contexts(want, numbers, starts)
+    assert np.array_equal(quality.word_vectors(awkward), want)
+
+
+def test_mixed_share(spark):
+    frame = spark.createDataFrame([("a a A. b",), ("b",), (None,)], "text string")
+    assert quality.mixed_share(frame) == 0.0
+    many = spark.createDataFrame([(" ".join(f"w{i}" for i in range(3000)),)], "text string")
+    numbers = {quality.hashed("w", f"w{i}", quality.FORMS) for i in range(3000)}
+    assert quality.mixed_share(many) == pytest.approx(1 - len(numbers) / 3000)
 
 
 def test_pipeline_stages(examples, spark, tmp_path):
