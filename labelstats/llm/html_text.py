@@ -5,9 +5,11 @@ adverts, comments and the like) go first. For every remaining node the character
 are computed and adjusted by the share of link text; a node's sum is that of its children's
 densities. The node with the largest sum leads: the least density on its path to the body
 is the threshold, and from the body down every subtree that reaches it gives its own
-largest-sum subtree. Where the page names its article (``article`` or ``main``), no search
-happens: all that is left in every article of it is the text, since the search would leave
-out titles and short ends of it.
+largest-sum subtree. Where the page names its article (``article`` or ``main``), the search is
+among articles: the one with the largest sum leads, and all that is left in it and in those
+that reach the threshold of its path is the text, since a search inside would leave out
+titles and short ends. Articles in a part named for readers' words beside the leading one,
+and teasers, which have few characters per tag or are links for the most part, are no text.
 
 Defined results: null, empty or tag-only html gives the empty text; unclosed and wrongly
 nested tags are repaired as browsers do in simple cases; an article is never cut. Repeated
@@ -64,6 +66,7 @@ NOT_TEXT_ROLE = frozenset(
     "toolbar form".split()
 )
 COMMENT_WORD = frozenset("comment comments commentlist disqus respond replies".split())
+BESIDE_WORD = frozenset("discussion feedback reactions responses".split())
 NOT_TEXT_WORD = frozenset(
     "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored sponsors "
     "promo promoted promotion cookie cookies consent gdpr notice popup modal overlay newsletter "
@@ -81,6 +84,7 @@ class Page:
         self.parent = [-1]
         self.dropped: list[int] = [PLAIN]
         self.pieces: list[tuple[int, int, str]] = []  # node, block, text
+        self.beside: set[int] = set()  # parts named for readers' words, unless they hold the article
 
     def add(self, name: str, parent: int, dropped: int) -> int:
         self.name.append(name)
@@ -99,7 +103,7 @@ def marked_as_other(name: str, attributes: str) -> int:
     if name in NEVER_TEXT:
         return SURE
     worded = WORDED if name == "form" else PLAIN
-    if not attributes or attributes.isspace() or name in ("html", "body", "article", "main"):
+    if not attributes or attributes.isspace() or name in ("html", "body", "main"):
         return worded
     if re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes):
         return SURE
@@ -107,6 +111,9 @@ def marked_as_other(name: str, attributes: str) -> int:
         value, key = a or b or c, key.lower()
         if key in ("class", "id"):
             words = {w.lower() for w in WORD.findall(value)}
+            if name == "article":  # may be the text, whatever else its name says
+                worded = WORDED if words & COMMENT_WORD else worded
+                continue
             if words & COMMENT_WORD:
                 return SURE
             if words & NOT_TEXT_WORD or re.search(
@@ -125,6 +132,12 @@ def marked_as_other(name: str, attributes: str) -> int:
     return worded
 
 
+def for_readers(attributes: str) -> bool:
+    """Whether a class or id names the part as one for what readers say."""
+    found = (a or b or c for key, a, b, c in ATTRIBUTE.findall(attributes) if key.lower() in ("class", "id"))
+    return any(w.lower() in BESIDE_WORD for value in found for w in WORD.findall(value))
+
+
 def parse(page_html: str) -> Page:
     page, open_nodes, block, at = Page(), [0], 0, 0
     names, size = page.name, len(page_html)
@@ -171,6 +184,8 @@ def parse(page_html: str) -> Page:
         block += name in BLOCK
         other = marked_as_other(name, found.group(3) or "")
         node = page.add(name, open_nodes[-1], other)
+        if found.group(3) and for_readers(found.group(3)):
+            page.beside.add(node)
         if name in VOID or (found.group(3) or "").endswith("/") and name not in BLOCK | RAW:
             continue
         if name in RAW:
@@ -203,7 +218,8 @@ def settle_dropped(page: Page) -> None:
         around[i] = i if names[i] in ("article", "main") and size[i] else around[up]
         own = dropped[i] == SURE or names[i] == "header" and not around[i]
         if dropped[i] == WORDED:
-            own = 2 * size[i] <= size[around[i]] or not around[i] and holds[0]
+            within = around[up] if names[i] == "article" else around[i]
+            own = 2 * size[i] <= size[within] or names[i] != "article" and not within and holds[0]
         dropped[i] = dropped[up] or own and (names[i] in NEVER_TEXT or not holds[i])
 
 
@@ -250,8 +266,8 @@ def subtree_ends(page: Page) -> list[int]:
 
 
 def chosen_nodes(page: Page) -> list[bool]:
-    """Which nodes hold the main text: all that is left in every named article, or what the
-    search finds on a page that names none. Articles of links for the most part are teasers."""
+    """Which nodes hold the main text: all that is left in the leading named article and in
+    those like it, or what the search finds on a page that names none."""
     n, names = len(page.name), page.name
     density, total, links = densities(page)
     keep, end = [False] * n, subtree_ends(page)
@@ -263,9 +279,11 @@ def chosen_nodes(page: Page) -> list[bool]:
             if i >= after:
                 roots.append(i)
                 after = end[i]
+        roots = [i for i in roots if page.beside.isdisjoint(ancestors(page, i))] or roots
         written = [i for i in roots if 2 * links[i] <= 1]
-        if not written:
-            written = [max(roots, key=lambda i: (total[i] + density[i], -i))]
+        lead = max(written or roots, key=lambda i: (total[i] + density[i], -i))
+        threshold = min(density[i] for i in [lead, *ancestors(page, lead)] if density[i])
+        written = [i for i in written if density[i] >= threshold] or [lead]
         for root in written:
             for i in range(root, end[root]):
                 keep[i] = not page.dropped[i]

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelstats.llm import html_text, shards, warc
+from labelstats.llm import common, html_text, shards, warc
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="with-sidebar">
 <script>var t="</p>";</script><header><a href="/">Home</a></header><nav><ul><li><a>x</a></ul></nav>
@@ -74,6 +74,96 @@ def test_all_parts_of_a_text_in_several_articles():
     assert html_text.main_text(page) == " ".join(f"One {text * 5} End. Two {text} Inner {text}".split())
 
 
+TEXT = "A sentence of the article that is long enough to fill a paragraph of it with many words. " * 3
+REMARK = "I have read all of this and do not agree with it. "
+
+
+@pytest.mark.parametrize(
+    "beside",
+    [
+        f'<article class="comment"><p>{REMARK * 3}</p></article>' * 2,
+        f'<section class="discussion"><h3>Talk</h3><article><p>{REMARK * 6}</p></article></section>',
+        f'<div id="reader-feedback"><article><p>{REMARK}</p></article><article><p>{REMARK * 9}</p></article></div>',
+        '<article><h3><a href="n">Another page</a></h3><p>What it says.</p><span>Now</span></article>' * 3,
+        '<article><a href="n">A long title of another page</a></article>',
+    ],
+)
+@pytest.mark.parametrize("first", [False, True])
+def test_remarks_and_teasers_beside_the_article_are_no_text(beside, first):
+    article = f"<article><h1>Title</h1><p>{TEXT}</p><p>{TEXT}</p></article>"
+    parts = [beside, article] if first else [article, beside]
+    page = f'<body><nav><a href="/">Home</a></nav><div>{"".join(parts)}</div><footer>x</footer></body>'
+    assert html_text.main_text(page) == " ".join(f"Title {TEXT} {TEXT}".split())
+
+
+def test_an_article_named_after_its_comments_or_discussion_stays():
+    page = f'<body><section class="discussion"><article class="post has-comments"><p>{TEXT}</p><section id="discussion"><p>{TEXT}</p></section></article></section></body>'
+    assert html_text.main_text(page) == " ".join((TEXT * 2).split())
+
+
+def plain_densities(page):
+    """Densities node by node, from the lists of descendants."""
+    n = len(page.name)
+    below = [[j for j in range(n) if j == i or i in lineage(page, j)] for i in range(n)]
+
+    def figures(i):
+        chars = links = 0
+        for node, _, text in page.pieces:
+            if node in below[i] and not page.dropped[node]:
+                chars += len(text.strip())
+                if any(page.name[j] == "a" for j in [node, *lineage(page, node)]):
+                    links += len(text.strip())
+        inner = [j for j in below[i] if j != i and not page.dropped[j]]
+        return chars, len(inner), links, sum(page.name[j] == "a" for j in inner)
+
+    chars, _, links, _ = figures(0)
+    share, out = (links / chars if chars else 0.0), []
+    for i in range(n):
+        c, t, lc, lt = figures(i)
+        if page.dropped[i] or not c:
+            out.append(0.0)
+            continue
+        rest = max(1, c - lc)
+        base = np.log(c / rest * lc + share * c + np.e)
+        out.append(c / max(1, t) * np.log(c / max(1, lc) * max(1, t) / max(1, lt)) / base)
+    sums = [sum(out[j] for j in range(1, n) if page.parent[j] == i) for i in range(n)]
+    return out, sums
+
+
+def lineage(page, i):
+    out = []
+    while page.parent[i] >= 0:
+        i = page.parent[i]
+        out.append(i)
+    return out
+
+
+def test_densities_equal_a_plain_computation(spark):
+    pages = [PAGE] + [r["html"] for r in common.table(spark, "/root/testdata/sf0.001", "pages").limit(12).collect()]
+    for html in pages:
+        page = html_text.parse(html)
+        html_text.settle_dropped(page)
+        density, total, _ = html_text.densities(page)
+        want, sums = plain_densities(page)
+        assert np.allclose(density, want) and np.allclose(total, sums)
+        # What the composite sums choose below the body, by trying every subtree.
+        n, end = len(page.name), html_text.subtree_ends(page)
+        keep = [False] * n
+        html_text.search(page, 0, density, total, end, keep)
+        lead = max(range(n), key=lambda i: (sums[i], -i))
+        threshold = min(want[i] for i in [lead, *lineage(page, lead)] if want[i])
+        plain, waiting = [False] * n, [0]
+        while waiting:
+            i = waiting.pop()
+            if page.dropped[i] or plain[i] or not want[i] or want[i] < threshold - 1e-12:
+                continue
+            best = max(range(i, end[i]), key=lambda j: (round(sums[j], 9), -j))
+            for j in range(best, end[best]):
+                plain[j] = not page.dropped[j]
+            waiting += [j for j in range(n) if page.parent[j] == i]
+        assert keep == plain
+
+
 @pytest.mark.parametrize("tag", ["article", "main", "div"])
 def test_form_around_the_page_keeps_the_text(tag):
     text = "A sentence of the text in a page that is one form. " * 5
