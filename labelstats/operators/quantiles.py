@@ -17,6 +17,8 @@ SKETCH_SIZE = 4096
 RANK_ERROR = 0.005
 # Brackets reach this share of the rows to either side of a wanted rank.
 MARGIN = RANK_ERROR
+# The quantiles of a box.
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 # Into how many parts the sketches of a class are merged before the parts are.
 STAGES = 256
 
@@ -60,28 +62,29 @@ def boxplot_stats(df: DataFrame, label_col: str, feature_cols: Sequence[str]) ->
 
     Quartiles, the whisker ends (outermost values within 1.5 interquartile ranges of
     the box, never inside the box) and the number of outliers beyond them. Null and NaN
-    do not count.
+    do not count. Two scans: where a fence can lie follows from the brackets of the quartiles,
+    so the second scan keeps the values there too, and the least and largest of all others.
     """
     numbers = _doubles(df, label_col, feature_cols)
     numbers = numbers.select(
         column(label_col),
         *[F.when(~F.isnan(column(c)), column(c)).alias(c) for c in feature_cols],
     )
-    box = _quantiles(numbers, label_col, feature_cols, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fenced = attach(
-        _present(numbers, label_col, feature_cols),
-        settle(box.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})),
+    sparse, box = _sparse_quantiles(numbers, label_col, feature_cols, QUARTILES, fenced=True)
+    low, high = _fences(F.col("q1"), F.col("q3"))
+    fenced = join_null_safe(
+        sparse.select(column(label_col), "feature", "least", "most", "size"),
+        settle(box.withColumns({"low": low, "high": high})),
         [label_col, "feature"],
     )
-    value = F.col("value")
-    outside = (value < F.col("low")) | (value > F.col("high"))
+    # A place that no fence can cut lies on one side of it as a whole.
+    outside = (F.col("most") < F.col("low")) | (F.col("least") > F.col("high"))
     return (
         fenced.groupBy(column(label_col), "feature", "q1", "median", "q3")
         .agg(
-            F.min(F.when(value >= F.col("low"), value)).alias("lowest"),
-            F.max(F.when(value <= F.col("high"), value)).alias("highest"),
-            F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outliers"),
+            F.min(F.when(F.col("least") >= F.col("low"), F.col("least"))).alias("lowest"),
+            F.max(F.when(F.col("most") <= F.col("high"), F.col("most"))).alias("highest"),
+            F.sum(F.when(outside, F.col("size")).otherwise(0)).alias("outliers"),
         )
         .select(
             column(label_col),
@@ -96,6 +99,11 @@ def boxplot_stats(df: DataFrame, label_col: str, feature_cols: Sequence[str]) ->
     )
 
 
+def _fences(q1: Column, q3: Column) -> tuple[Column, Column]:
+    reach = 1.5 * (q3 - q1)
+    return q1 - reach, q3 + reach
+
+
 def sketched_edges(
     df: DataFrame,
     keys: Sequence[str],
@@ -172,13 +180,24 @@ def _quantiles(
     of that place are ranked. The totals are exact, so a rank that a sketch has missed
     is noticed, and the groups that missed one are taken again with their whole range.
     """
+    return _sparse_quantiles(df, label_col, feature_cols, probabilities)[1]
+
+
+def _sparse_quantiles(
+    df: DataFrame,
+    label_col: str,
+    feature_cols: Sequence[str],
+    probabilities: Mapping[str, float],
+    fenced: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The settled places of ``_bracketed``, and the quantiles that they give."""
     label = column(label_col)
-    sparse = settle(_bracketed(df, label_col, feature_cols, probabilities, MARGIN))
+    sparse = settle(_bracketed(df, label_col, feature_cols, probabilities, MARGIN, fenced=fenced))
     targets = settle(_targets(sparse, label_col, probabilities))
     missed = targets.where(~F.col("inside")).select(label, "feature").distinct()
     if missed.head(1):
         missed = settle(missed.withColumn("total", F.lit(0)))
-        whole = _bracketed(df, label_col, feature_cols, probabilities, 1.0, missed)
+        whole = _bracketed(df, label_col, feature_cols, probabilities, 1.0, missed, fenced)
         sparse = settle(
             _without(sparse, missed.drop("total"), [label_col, "feature"]).unionByName(whole)
         )
@@ -201,7 +220,7 @@ def _quantiles(
         picks.append(F.max(F.when(_holds(low), F.col("value"))).alias(f"{name}__low"))
         picks.append(F.max(F.when(_holds(high), F.col("value"))).alias(f"{name}__high"))
     picked = ranked.groupBy(label, "feature", "total").agg(*picks)
-    return picked.select(
+    return sparse, picked.select(
         label, "feature", "total", *[_interpolate(name, p).alias(name) for name, p in probabilities.items()]
     )
 
@@ -238,11 +257,13 @@ def _bracketed(
     probabilities: Mapping[str, float],
     margin: float,
     only: DataFrame | None = None,
+    fenced: bool = False,
 ) -> DataFrame:
-    """Row counts per place; inside the brackets also per value.
+    """Row counts per place, with its least and largest value; inside the brackets per value.
 
     Classes of a few hundred rows have their whole range as bracket. ``only`` names the
-    groups to take, if not all.
+    groups to take, if not all. With ``fenced``, what the fences of a box plot can be, by the
+    brackets of the quartiles, are brackets too.
     """
     fractions = []
     for p in sorted(set(probabilities.values())):
@@ -251,17 +272,22 @@ def _bracketed(
     if only is not None:
         edges = join_null_safe(edges, only.select(column(label_col), "feature"), [label_col, "feature"])
     whole = (F.col("total") * F.lit(margin) < 2) | F.lit(margin >= 1)
+    found = [F.col("edges")[j] for j in range(len(fractions))]
+    if fenced:
+        # The lower bracket is that of the first quartile, the last that of the third.
+        lowest, highest = _fences(found[0], found[-1])
+        found += [lowest, _fences(found[1], found[-2])[0], _fences(found[1], found[-2])[1], highest]
     edges = edges.withColumns(
         {
-            f"e{j}": F.when(whole, F.col("highest" if j % 2 else "lowest")).otherwise(F.col("edges")[j])
-            for j in range(len(fractions))
+            f"e{j}": F.when(whole, F.col("highest" if j % 2 else "lowest")).otherwise(edge)
+            for j, edge in enumerate(found)
         }
     ).drop("lowest", "highest", "edges")
     rows = attach(
         _present(df, label_col, feature_cols), settle(edges), [label_col, "feature"]
     )
     value = F.col("value")
-    bounds = [F.col(f"e{j}") for j in range(len(fractions))]
+    bounds = [F.col(f"e{j}") for j in range(len(found))]
     inside = F.lit(False)
     for low, high in zip(bounds[::2], bounds[1::2]):
         inside = inside | ((value >= low) & (value <= high))
@@ -277,10 +303,11 @@ def _bracketed(
             inside.alias("inside"),
             F.when(inside, step).otherwise(0).alias("step"),
             F.when(inside, value).alias("value"),
+            value.alias("own"),
             "n",
         )
         .groupBy(column(label_col), "feature", "total", "region", "inside", "step", "value")
-        .agg(F.sum("n").alias("size"))
+        .agg(F.sum("n").alias("size"), F.min("own").alias("least"), F.max("own").alias("most"))
     )
 
 

@@ -243,6 +243,31 @@ def test_boxplot_figures(spark):
     assert found["b"]["whisker_low"] == found["b"]["whisker_high"] == 4.0
 
 
+def test_boxplots_of_many_rows_equal_a_sort(spark):
+    """Tails that the fences cut, a hot value, columns without spread, values beyond numbers."""
+    rng = np.random.default_rng(12)
+    n = 40_000
+    frame = pd.DataFrame({"k": rng.choice(["a", "b", "c"], n, p=[0.6, 0.399, 0.001])})
+    frame["heavy"] = np.exp(2 * rng.normal(size=n))
+    frame["both"] = rng.standard_t(2, n)
+    frame["hot"] = np.where(rng.random(n) < 0.6, 3.0, np.round(rng.normal(3, 2, n), 1))
+    frame["flat"] = np.where(rng.random(n) < 0.9, 1.0, rng.normal(size=n))
+    frame["large"] = np.where(rng.random(n) < 0.3, np.inf, rng.normal(size=n))
+    cols = ["heavy", "both", "hot", "flat", "large"]
+    found = {(r["k"], r["feature"]): r for r in ls.boxplot_stats(spark.createDataFrame(frame).repartition(6), "k", cols).collect()}
+    assert len(found) == 15
+    for (k, c), r in found.items():
+        v = np.sort(frame.loc[frame["k"] == k, c].to_numpy())
+        with np.errstate(invalid="ignore"):
+            q1, q3 = (r[q] for q in ("q1", "q3"))
+            if c != "large":
+                assert (q1, r["median"], q3) == pytest.approx(tuple(np.quantile(v, [0.25, 0.5, 0.75])), rel=1e-12)
+            low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert r["whisker_low"] == min(v[v >= low].min(), q1)
+        assert r["whisker_high"] == max(v[v <= high].max(), q3)
+        assert r["outliers"] == ((v < low) | (v > high)).sum()
+
+
 def test_whiskers_stay_outside_the_box(spark):
     values = [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 100.0, 100.0]
     df = spark.createDataFrame([("a", v) for v in [*values, 1000.0]], "k string, v double")
