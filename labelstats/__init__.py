@@ -55,6 +55,7 @@ from labelstats.operators.shape import (
     to_wide,
     union_frames,
 )
+from labelstats.operators.split import exact_split
 from labelstats.operators.states import merge_states, summary_of_state, summary_state
 from labelstats.operators.summary import (
     class_counts,
@@ -90,6 +91,7 @@ __all__ = [
     "decision_tree",
     "drop_columns",
     "error_rate",
+    "exact_split",
     "filter_class",
     "first_rows",
     "fit_preparation",

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 # Equal steps between two neighbouring edges in ``place``.
 STEPS = 4_096
+# Bits of ``hash_number``; a multiple of four.
+HASH_BITS = 60
 # More than the edges that ``edge_place`` searches; a power of two.
 EDGES = 2_048
 
@@ -102,3 +104,9 @@ def hash_fraction(keys: Sequence[str], seed: int) -> Column:
     text = F.concat_ws(":", *[column(k).cast("string") for k in keys], F.lit(str(seed)))
     leading = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return leading / F.lit(4294967296.0)
+
+
+def hash_number(keys: Sequence[str], seed: int) -> Column:
+    """A bigint below 2 ** ``HASH_BITS`` that depends on the key values and the seed alone."""
+    text = F.concat_ws(":", *[column(k).cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")

@@ -132,6 +132,12 @@ def hash_split(spark: SparkSession, folder: str) -> DataFrame:
     return ls.with_split(lineitem(spark, folder).select(*KEYS), KEYS, seed=123)
 
 
+def exact_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Three splits of exact size in every class of line."""
+    rows = lineitem(spark, folder).select(*KEYS, LABEL)
+    return ls.exact_split(rows, KEYS, LABEL, [0.6, 0.3, 0.1], names=["train", "tune", "test"])
+
+
 def prepared_split(spark: SparkSession, folder: str) -> DataFrame:
     prepared = ls.prepare(lineitem(spark, folder), LABEL, FEATURES, KEYS, seed=123)
     return prepared.rows.groupBy("split", LABEL, "label").agg(F.count("*").alias("row_count"))
@@ -218,6 +224,7 @@ QUERIES = {
         feature_vector,
         scaled_features,
         hash_split,
+        exact_split,
         prepared_split,
         decision_tree,
         linear_svc,
@@ -344,6 +351,17 @@ ORACLES = {
             FROM tagged WHERE split = 'train' GROUP BY l_linestatus)
         SELECT split, l_linestatus, label, CAST(count(*) AS BIGINT) AS row_count
         FROM tagged JOIN classes USING (l_linestatus) GROUP BY split, l_linestatus, label""",
+    "exact_split": f"""
+        WITH ranked AS (
+            SELECT {_KEYS}, l_linestatus,
+                   row_number() OVER (PARTITION BY l_linestatus
+                       ORDER BY ('0x' || substr(md5(concat_ws(':', {_KEYS}, '123')), 1, 15))::BIGINT) AS place,
+                   count(*) OVER (PARTITION BY l_linestatus) AS n
+            FROM lineitem)
+        SELECT {_KEYS}, l_linestatus,
+               CASE WHEN place <= floor(n * 0.6::DOUBLE + 0.5) THEN 'train'
+                    WHEN place <= floor(n * 0.9::DOUBLE + 0.5) THEN 'tune' ELSE 'test' END AS split
+        FROM ranked""",
     "decision_tree": _perfect_sql("decision_tree"),
     "linear_svc": _perfect_sql("linear_svc"),
     "mlp": _perfect_sql("mlp"),
