@@ -138,9 +138,9 @@ def test_missed_brackets_are_widened(spark, monkeypatch):
     sizes = []
     bracketed = quantiles._bracketed
 
-    def spy(*args):
-        sizes.append(args[-1])
-        return bracketed(*args)
+    def spy(*args, **named):
+        sizes.append(args[4])
+        return bracketed(*args, **named)
 
     monkeypatch.setattr(quantiles, "_bracketed", spy)
     found = ls.quantiles_by_class(df, "k", ["v"], {"a": 0.3, "b": 0.31}).first()
@@ -183,10 +183,10 @@ def test_only_groups_that_missed_are_taken_again(spark, monkeypatch):
         moved = F.transform("edges", lambda e: F.when(F.col("k") == "k1", e + 5_000).otherwise(e))
         return sketched(*args).withColumn("edges", moved)
 
-    def spy(*args):
+    def spy(*args, **named):
         if len(args) > 5:
             again.extend(tuple(r) for r in args[5].select("k", "feature").collect())
-        return bracketed(*args)
+        return bracketed(*args, **named)
 
     monkeypatch.setattr(quantiles, "sketched_edges", wrong)
     monkeypatch.setattr(quantiles, "_bracketed", spy)
