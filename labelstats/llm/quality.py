@@ -160,11 +160,13 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
         .where(F.length("text") > 0)
         .mapInArrow(contexts, schema)
         .groupBy("number")
-        .agg(*[F.sum(f"v{d}").alias(f"v{d}") for d in range(width)])
+        .agg(*[F.sum(f"v{d}").cast("float").alias(f"v{d}") for d in range(width)])
     )
-    table = np.zeros((FORMS + SHAPES, width))
+    table = np.zeros((FORMS + SHAPES, width), np.float32)
     found = sums.select(names).toArrow()  # a row for each number at most
-    table[found.column("number").to_numpy()] = np.stack([found.column(n).to_numpy() for n in names[1:]], axis=1)
+    number = found.column("number").to_numpy()
+    for d in range(width):
+        table[number, d] = found.column(f"v{d}").to_numpy()
     return table
 
 
@@ -223,11 +225,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(table: np.ndarray, examples: list[tuple[int, str]], steps: int = 600) -> Network:
-    counts = table[:, -1]
-    length = np.linalg.norm(table[:, :-1], axis=1)
+    counts = table[:, -1].astype(np.float64)
+    vectors = table[:, :-1].copy()
+    length = np.sqrt(np.einsum("nd,nd->n", vectors, vectors, dtype=np.float64))
     rarity = np.log1p(counts.sum() / np.maximum(counts, 1))
-    vectors = table[:, :-1] / np.maximum(length, 1e-9)[:, None] * (rarity / max(rarity.max(), 1e-9))[:, None]
-    net = Network(vectors.astype(np.float32))
+    vectors *= (rarity / max(rarity.max(), 1e-9) / np.maximum(length, 1e-9)).astype(np.float32)[:, None]
+    net = Network(vectors)
     y = np.array([label for label, _ in examples], float)
     if len(set(y.tolist())) < 2:
         net.share = float(y.mean()) if len(y) else 0.0
