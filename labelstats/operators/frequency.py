@@ -40,14 +40,16 @@ def top_value(df: DataFrame, col: str) -> DataFrame:
 
 
 def mode_by_class(
-    df: DataFrame, label_col: str, feature_cols: Sequence[str], ignore_nulls: bool = False
+    df: DataFrame, label_col: str, feature_cols: Sequence[str], ignore_nulls: bool = False,
+    sketched: bool = False,
 ) -> DataFrame:
     """Most frequent value per class and feature as ``(label, feature, mode)``.
 
     Null is a value like any other unless ``ignore_nulls``. Of equally frequent values
     the smallest is taken, null last.
 
-    A first pass keeps a sketch of frequent items for each class and feature, of fixed size,
+    With ``sketched``, which pays where many different values would be shuffled and a few are
+    frequent, a first pass keeps a sketch of frequent items for each class and feature, of fixed size,
     and tells from its error bound which values can be a mode. The second counts these
     exactly. Only where the bound leaves every value possible, as among mostly different
     ones, are all values counted. Rows are combined before the first shuffle, which
@@ -61,12 +63,12 @@ def mode_by_class(
     exact = [c for c in feature_cols if not isinstance(common_type(df, [c]), T.DoubleType)]
     other = [c for c in feature_cols if c not in exact]
     if exact and other and all(isinstance(df.schema[c].dataType, T.NumericType) for c in other):
-        parts = [mode_by_class(df, label_col, cols, ignore_nulls) for cols in (exact, other)]
+        parts = [mode_by_class(df, label_col, cols, ignore_nulls, sketched) for cols in (exact, other)]
         return union_frames([p.withColumn("mode", F.col("mode").cast("double")) for p in parts])
     rows = to_long(df, [label_col], feature_cols)
     if ignore_nulls:
         rows = rows.where(F.col("value").isNotNull())
-    possible = possible_modes(df, label_col, feature_cols, ignore_nulls)
+    possible = possible_modes(df, label_col, feature_cols, ignore_nulls) if sketched else None
     if possible is not None:
         # One row per class and feature, CLASSES * features at most.
         rows = join_null_safe(rows, F.broadcast(possible), [label_col, "feature"])
