@@ -6,14 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelstats.functions.expressions import column
 from labelstats.operators.shape import to_long, to_wide
 
+# Holds every bigint; sums of it have ten digits more.
+EXACT = T.DecimalType(20, 0)
+
 
 def keyed_sum(df: DataFrame, key: str, value_cols: Sequence[str]) -> DataFrame:
-    """One row per key with the sum of every column."""
-    return df.groupBy(column(key)).agg(*[F.sum(column(c)).alias(c) for c in value_cols])
+    """One row per key with the sum of every column; integers are added up as decimals, which
+    hold sums beyond bigint."""
+    whole = [c for c in value_cols if isinstance(df.schema[c].dataType, T.IntegralType)]
+    values = {c: column(c).cast(EXACT) if c in whole else column(c) for c in value_cols}
+    return df.groupBy(column(key)).agg(*[F.sum(v).alias(c) for c, v in values.items()])
 
 
 def keyed_mean(df: DataFrame, key: str, value_cols: Sequence[str]) -> DataFrame:

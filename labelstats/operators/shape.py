@@ -91,6 +91,14 @@ def common_type(df: DataFrame, cols: Sequence[str]) -> T.DataType:
     return T.DoubleType()
 
 
+def bigint_if_held(df: DataFrame, col: str) -> DataFrame:
+    """The table with a decimal column without fraction as bigint, if that holds all its values.
+
+    The table is read for it, so it should be small or settled."""
+    held = column(col).between(F.lit(-(2**63)), F.lit(2**63 - 1))
+    return df.withColumn(col, column(col).cast("bigint")) if df.where(~held).isEmpty() else df
+
+
 def to_wide(
     df: DataFrame,
     keys: Sequence[str],

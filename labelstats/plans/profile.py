@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import labelstats as ls
-from labelstats.operators.attach import checkpoint_folder
+from labelstats.operators.attach import checkpoint_folder, settle
+from labelstats.operators.shape import bigint_if_held
 
 LABEL = "l_linestatus"
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -151,7 +152,9 @@ def class_median_approx(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exact_integers(spark: SparkSession, folder: str) -> DataFrame:
-    """Figures of integers that doubles cannot hold."""
+    """Figures of integers that doubles cannot hold.
+
+    They are bigint as in the SQL, and decimal on tables whose sums no bigint holds."""
     rows = lineitem(spark, folder).select(
         LABEL, (F.col("l_orderkey") % 7 + 9007199254740992).alias("large")
     )
@@ -162,10 +165,15 @@ def exact_integers(spark: SparkSession, folder: str) -> DataFrame:
         "Min": ls.class_stat(rows, LABEL, ["large"], "Min"),
         "Max": ls.class_stat(rows, LABEL, ["large"], "Max"),
         "Mode": ls.mode_by_class(rows, LABEL, ["large"]).select(LABEL, F.col("mode").alias("large")),
+    }
+    summed = {
         "Sum": ls.keyed_sum_long(sums, LABEL, ["large"]).select(LABEL, F.col("value").alias("large")),
         "Wide sum": ls.keyed_sum_wide(sums, LABEL, ["large"]),
     }
-    return ls.union_frames([p.withColumn("Summary", F.lit(name)) for name, p in parts.items()])
+    parts, summed = (
+        ls.union_frames([p.withColumn("Summary", F.lit(name)) for name, p in some.items()]) for some in (parts, summed)
+    )
+    return parts.unionByName(bigint_if_held(settle(summed), "large"))
 
 
 def class_median(spark: SparkSession, folder: str) -> DataFrame:
