@@ -52,8 +52,8 @@ def read_csv_checked(
 
     A record of too few or too many fields, or with a field that its type cannot hold, is kept
     as it stands, with its file; an empty field is null. One scan writes good and rejected
-    rows as Parquet below ``folder``, which must be new, in a folder of each kind. All fields
-    of a record are parsed, whatever columns are used later, so a record is rejected or not
+    rows as Parquet in ``folder``, which must be new, in one table: a folder of each kind would
+    have every task sort its rows by kind first. All fields of a record are parsed, whatever columns are used later, so a record is rejected or not
     once and for all. With ``header`` the first line of a file is checked against the schema.
     """
     record, file = "__record", "__file"
@@ -63,7 +63,7 @@ def read_csv_checked(
     )
     kept = [column(c) for c in schema.names]
     told = read.select(*kept, record, F.input_file_name().alias(file), F.col(record).isNotNull().alias("__rejected"))
-    told.write.partitionBy("__rejected").parquet(folder)
+    told.write.parquet(folder)
     written = spark.read.schema(T.StructType([*told.schema.fields])).parquet(folder)
     return CheckedRows(
         written.where(~F.col("__rejected")).select(*kept),
