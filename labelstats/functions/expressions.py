@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,6 +92,25 @@ def edge_place(value: Column, edges: Column) -> Column:
     )
 
 
+def with_edge_places(df: DataFrame, edges: Mapping[str, Column], prefix: str) -> DataFrame:
+    """The table with the ``edge_place`` of each named column among its edges, as ``<prefix><name>``.
+
+    The same search as a chain of plain columns, which Spark compiles together with the join that
+    brings the edges; a lambda function takes copies of the lists of edges for every row."""
+    found = {n: prefix + n for n in edges}
+    df = df.withColumns({f: F.lit(0) for f in found.values()})
+    for k in range(1, EDGES.bit_length()):
+        step = EDGES >> k
+        df = df.withColumns({
+            f: column(f) + F.when(F.get(edges[n], column(f) + (step - 1)) < column(n), step).otherwise(0)
+            for n, f in found.items()
+        })
+    return df.withColumns({
+        f: 2 * column(f) + F.coalesce(F.get(edges[n], column(f)) == column(n), F.lit(False)).cast("int")
+        for n, f in found.items()
+    })
+
+
 def running_total(amount: str, group: WindowSpec, *order: str) -> Column:
     """Sum of ``amount`` up to and including the row; ``order`` is unique in a group."""
     return F.sum(amount).over(

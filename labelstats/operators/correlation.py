@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations, combinations_with_replacement
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelstats.functions.expressions import (
@@ -14,6 +14,7 @@ from labelstats.functions.expressions import (
     finite_or_fail,
     pearson,
     running_total,
+    with_edge_places,
 )
 from labelstats.operators.attach import attach, join_null_safe, settle
 from labelstats.operators.moments import comoments
@@ -24,6 +25,8 @@ from labelstats.operators.shape import to_long
 # in smaller ones a place has this many rows or more.
 PLACES = 2048
 PLACE_ROWS = 16_384
+# Columns that are placed together in one row; Spark compiles no wider rows.
+COLUMNS = 12
 # Pairs of columns whose cells are computed in one aggregation of built-in functions. Wider
 # matrices are put together from those of the tasks.
 PAIRS = 256
@@ -116,32 +119,129 @@ def _cells(moments: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Data
 
 
 def centred_ranks(data: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """``(keys, names, __m)``: average ranks less their mean, for each different row and class
-    once, with the number of its rows.
-
-    The cells are dealt out by class, column and place among edges that a sketch has found
-    at equal ranks, and ranked there. A place that is a single value, as every value of many
-    rows is, needs no ranking: the rows below and in it tell its rank. Its cells are dealt
-    out by their task, so no value, however many rows have it, comes together. How many
-    rows lie below each place is counted first; that, and the edges, are all that is
-    settled: some 4,000 numbers at most for each class and column, fewer for small classes.
-    Rows are put together again by two hashes of all their values, which do not depend on
-    order or partitions; equal rows, which have equal ranks, are one from then on.
+    """``(keys, names, __m)``: average ranks less their mean, for rows or for each different row
+    and class once, with the number of its rows.
+
+    Cells are placed by class and column among edges that a sketch has found at equal ranks.
+    A place that is a single value, as every value of many rows is, needs no ranking: the rows
+    below and in it tell its rank. How many rows lie below each place is counted first; that,
+    and the edges, are all that is settled: some 4,000 numbers at most for each class and
+    column, fewer for small classes. Without classes, and with few columns, rows get the ranks
+    of single values where they are, and only the other cells are dealt out to be ranked in
+    their place; otherwise all cells are, see :func:`_ranks_by_cell`.
+
+    Without classes, one shuffle of a row for each cell that has to be ranked, and if several
+    columns have such cells, another one that puts the rows together again.
+    """
+    # Adding zero makes one zero of both.
+    data = data.select(
+        *[column(k) for k in keys], *[(F.col(n) + F.lit(0.0)).alias(n) for n in names]
+    )
+    group = [*keys, "feature"]
+    edges = settle(_places(sketched_edges(data, keys, names, [i / PLACES for i in range(1, PLACES)]), group))
+    # In compiled code the figures of one group are constants; those of classes would be copied to
+    # every row.
+    if keys or len(names) > COLUMNS:
+        return _ranks_by_cell(data, edges, keys, names)
+    cells = _placed(data, edges, names).select(
+        *[column(k) for k in keys],
+        F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"__p_{n}").alias("place")) for n in names])),
+    )
+    sizes = cells.groupBy(*[column(k) for k in group], "place").agg(F.count("*").alias("size"))
+    below = settle(_rows_below(sizes, edges, group))
+    return _ranks_by_row(data, below, names)
+
+
+def _placed(data: DataFrame, figures: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows with each column's place as ``__p_<name>``, and the struct of its figures as
+    ``__<name>``. ``figures`` has a row for each column, which is a constant for all rows."""
+    each = F.struct(*[column(c) for c in figures.columns if c != "feature"])
+    lists = {n: figures.where(F.col("feature") == n).select(each.alias("figures")).scalar() for n in names}
+    rows = data.withColumns({f"__{n}": c for n, c in lists.items()})
+    return with_edge_places(rows, {n: F.col(f"__{n}")["edges"] for n in names}, "__p_")
+
+
+def _ranks_by_row(data: DataFrame, below: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The ranks over all rows: cells of single values get them where they are."""
+    whole = [F.col(n) for n in names]
+    # Places between edges are those of even numbers; this many columns have rows there.
+    held = F.transform(
+        F.sequence(F.lit(0), F.size("edges")), lambda i: F.get("below", 2 * i + 1) > F.get("below", 2 * i)
+    )
+    most = below.where(F.exists(held, lambda h: h)).count()
+    ids = ["__id", "__id2"] if most > 1 else []
+
+    rows = _placed(data, below, names)
+    single = {n: F.col(f"__p_{n}") % 2 == 1 for n in names}
+    # Ranks of the first and last row of a place, less the mean rank.
+    start, end = (
+        {n: F.get(F.col(f"__{n}")["below"], F.col(f"__p_{n}") + step) - (F.col(f"__{n}")["total"] + 1) / 2 for n in names}
+        for step in (0, 1)
+    )
+    known = [F.when(single[n], (start[n] + 1 + end[n]) / 2).alias(n) for n in names]
+    if most == 0:
+        return rows.select(*known, F.lit(1).alias("__m"))
+
+    # The first cell of a row that is to be ranked, or a cell of no column, carries the known ranks.
+    kind = "struct<feature:int,place:int,value:double,offset:double>"
+    cells = [
+        F.when(~single[n], F.struct(F.lit(i), F.col(f"__p_{n}"), F.col(n), start[n]).cast(kind))
+        for i, n in enumerate(names)
+    ]
+    none = F.struct(F.lit(-1), F.lit(-1), F.lit(0.0), F.lit(0.0)).cast(kind)
+    hashes = [F.xxhash64(*whole).alias("__id"), F.xxhash64(F.lit(1), *whole).alias("__id2")][: len(ids)]
+    if most == 1:
+        cells = rows.select(*known, F.lit(1).alias("__m"), F.coalesce(*cells, none).alias("cell"))
+    else:
+        some = F.array_compact(F.array(*cells))
+        listed = F.posexplode(F.when(F.size(some) > 0, some).otherwise(F.array(none))).alias("at", "cell")
+        cells = rows.select(*hashes, *known, listed)
+        first = F.col("at") == 0
+        cells = cells.select(
+            *ids, *[F.when(first, F.col(n)).alias(n) for n in names], first.cast("int").alias("__m"), "cell"
+        )
+    # Rows that have their ranks stay with their task.
+    lane = F.when(F.col("cell.feature") < 0, F.spark_partition_id()).otherwise(-1)
+    cells = cells.select(*ids, *names, "__m", "cell.*", lane.alias("lane"))
+    here = Window.partitionBy("feature", "place", "lane").orderBy("value")
+    upto = F.count("*").over(here.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    rank = F.col("offset") + (F.rank().over(here) + upto) / 2
+    ranked = cells.withColumn("rank", rank).select(
+        *ids, "__m",
+        *[F.when(F.col("feature") == i, F.col("rank")).otherwise(F.col(n)).alias(n) for i, n in enumerate(names)],
+    )
+    if most == 1:
+        return ranked
+    return (
+        ranked.groupBy(*ids)
+        .agg(F.sum("__m").alias("__m"), *[F.max(n).alias(n) for n in names])
+        .select(*names, "__m")
+    )
+
+
+def _ranks_by_cell(
+    data: DataFrame, edges: DataFrame, keys: Sequence[str], names: Sequence[str]
+) -> DataFrame:
+    """The ranks, where the figures of the classes are joined: every cell is dealt out.
+
+    A single value's cells are dealt out by their task, so no value, however many rows have it,
+    comes together. Rows are put together again by two hashes of all their values, which do not
+    depend on order or partitions; equal rows, which have equal ranks, are one from then on.
 
     Two shuffles of a row for each cell, and one of whole rows, whatever the number of columns.
     """
     keyed = [column(k) for k in keys]
     whole = [*keyed, *[F.col(n) for n in names]]
-    # Adding zero makes one zero of both.
-    data = data.select(*keyed, *[(F.col(n) + F.lit(0.0)).alias(n) for n in names])
     named = data.select(
         F.xxhash64(*whole).alias("__id"), F.xxhash64(F.lit(1), *whole).alias("__id2"), *whole
     )
     group = [*keys, "feature"]
     grouped = [column(k) for k in group]
     cells = to_long(named, ["__id", "__id2", *keys], names).withColumn("n", F.lit(1))
-    edges = settle(_places(sketched_edges(data, keys, names, [i / PLACES for i in range(1, PLACES)]), group))
-    below = settle(_rows_below(attach(cells.select(*grouped, "value", "n"), edges, group), edges, group))
+    counted = attach(cells.select(*grouped, "value", "n"), edges, group)
+    place = edge_place(F.col("value"), F.col("edges"))
+    sizes = counted.groupBy(*grouped, place.alias("place")).agg(F.sum("n").alias("size"))
+    below = settle(_rows_below(sizes, edges, group))
 
     placed = attach(cells, below, group).withColumn("place", edge_place(F.col("value"), F.col("edges")))
     single = F.col("place") % 2 == 1
@@ -176,11 +276,11 @@ def _places(edges: DataFrame, group: Sequence[str]) -> DataFrame:
     return edges.select(*[column(k) for k in group], "total", F.array_distinct(chosen).alias("edges"))
 
 
-def _rows_below(placed: DataFrame, edges: DataFrame, group: Sequence[str]) -> DataFrame:
-    """``(group, total, edges, below)``: the rows below each place, and at last all."""
+def _rows_below(sizes: DataFrame, edges: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``(group, total, edges, below)``: the rows below each place, and at last all.
+
+    ``sizes`` has the rows of each place, ``(group, place, size)``."""
     grouped = [column(k) for k in group]
-    place = edge_place(F.col("value"), F.col("edges"))
-    sizes = placed.groupBy(*grouped, place.alias("place")).agg(F.sum("n").alias("size"))
     # Places without rows are as large as nothing.
     none = edges.select(*grouped, F.explode(F.sequence(F.lit(0), 2 * F.size("edges"))).alias("place"))
     sizes = sizes.unionByName(none.withColumn("size", F.lit(0).cast("bigint")))
