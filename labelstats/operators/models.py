@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from labelstats.functions.expressions import column
 from labelstats.operators.metrics import PREDICTION, accuracy
+from labelstats.operators.perceptron import fit_perceptron, laid_out
 from labelstats.operators.prepare import FEATURES, LABEL, SCALED
 
 POOL = "spark.scheduler.pool"
@@ -37,11 +38,11 @@ def linear_svc(train: DataFrame, features_col: str = SCALED, **params) -> Model:
 def mlp(
     train: DataFrame, layers: Sequence[int], features_col: str = SCALED, seed: int = 1, **params
 ) -> Model:
-    """Multilayer perceptron; ``layers`` runs from the feature to the class count."""
-    estimator = MultilayerPerceptronClassifier(
-        labelCol=LABEL, featuresCol=features_col, layers=list(layers), seed=seed, **params
-    )
-    return _fit(estimator, train)
+    """Multilayer perceptron; ``layers`` runs from the feature to the class count.
+
+    Spark's model, with the gradients of ``operators/perceptron.py``; other solvers than
+    ``l-bfgs`` are Spark's own."""
+    return _mlps(train, [layers], features_col, seed, params, lambda fits: [f() for f in fits])[0]
 
 
 def score(model: Model, frame: DataFrame) -> DataFrame:
@@ -77,9 +78,9 @@ def mlp_sweep(
     """Fit one perceptron per layer list: ``(cycle, layers, accuracy)`` on the test rows.
 
     ``parallelism`` of them are fitted at the same time, and fill the waits of each other's
-    short jobs. All of them score the test rows in one pass."""
-    fitted = fit_together(
-        train, [lambda layers=layers: mlp(train, layers, features_col, seed, **params) for layers in layer_lists], parallelism
+    short jobs, over one copy of the train rows. All of them score the test rows in one pass."""
+    fitted = _mlps(
+        train, layer_lists, features_col, seed, params, lambda fits: fit_together(train, fits, parallelism)
     )
     models = {str(cycle): model for cycle, model in enumerate(fitted, start=1)}
     cycle = F.col("model").cast("int")
@@ -118,6 +119,25 @@ def fit_together(train: DataFrame, fits: Sequence[Callable[[], Model]], parallel
             raise
 
 
+def _mlps(
+    train: DataFrame, layer_lists: Sequence[Sequence[int]], features_col: str, seed: int, params: Mapping,
+    run: Callable[[list], list[Model]],
+) -> list[Model]:
+    """One perceptron per layer list; ``run`` has them fitted."""
+    estimators = [
+        MultilayerPerceptronClassifier(
+            labelCol=LABEL, featuresCol=features_col, layers=list(layers), seed=seed, **params
+        )
+        for layers in layer_lists
+    ]
+    if params.get("solver", "l-bfgs") != "l-bfgs":
+        return run([lambda e=e: _fit(e, train) for e in estimators])
+    if len({layers[0] for layers in layer_lists}) > 1:
+        raise ValueError("all perceptrons must have the same number of features")
+    with laid_out(train, LABEL, features_col, min(layer_lists, key=lambda layers: layers[-1])) as blocks:
+        return run([lambda e=e: fit_perceptron(train.sparkSession, e, blocks) for e in estimators])
+
+
 def _fit(estimator, train: DataFrame) -> Model:
     """Fit on a kept frame as it is, else on the two columns the estimator reads."""
     if train.storageLevel.useMemory or train.storageLevel.useDisk:

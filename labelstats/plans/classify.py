@@ -6,6 +6,8 @@ right fit finds it for every row, so SQL can state the whole result.
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,8 @@ from labelstats.plans.profile import FEATURES, KEYS, LABEL, lineitem, rounded
 
 CLASS_ORDER = ["low", "high"]
 MODEL_FEATURES = ["discount", "quantity", "tax"]
-# Partitions of the kept train rows: the test tables are single files.
-PARTITIONS = 8
+# Partitions of the kept train rows, at least, and per core: the test tables are single files.
+PARTITIONS, PER_CORE = 8, 2
 
 
 def _rule_predictions(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,6 +160,11 @@ def _prepared(spark: SparkSession, folder: str) -> ls.Prepared:
     return ls.prepare(rows, "level", MODEL_FEATURES, KEYS, seed=123, label_order=CLASS_ORDER)
 
 
+def _kept(spark: SparkSession, folder: str, features_col: str = prep.SCALED) -> AbstractContextManager[ls.Prepared]:
+    partitions = max(PARTITIONS, PER_CORE * spark.sparkContext.defaultParallelism)
+    return _prepared(spark, folder).kept(features_col, partitions)
+
+
 def _judge(models: dict, test: DataFrame) -> DataFrame:
     return rounded(ls.compare_models(ls.score_models(models, test)), 6)
 
@@ -173,18 +180,18 @@ def linear_svc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mlp(spark: SparkSession, folder: str) -> DataFrame:
-    with _prepared(spark, folder).kept(partitions=PARTITIONS) as data:
+    with _kept(spark, folder) as data:
         return _judge({"mlp": ls.mlp(data.train, [3, 15, 15, 2])}, data.test)
 
 
 def mlp_raw_features(spark: SparkSession, folder: str) -> DataFrame:
-    with _prepared(spark, folder).kept(prep.FEATURES, PARTITIONS) as data:
+    with _kept(spark, folder, prep.FEATURES) as data:
         model = ls.mlp(data.train, [3, 13, 13, 2], prep.FEATURES, seed=1)
         return _judge({"mlp": model}, data.test)
 
 
 def mlp_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    with _prepared(spark, folder).kept(prep.FEATURES, PARTITIONS) as data:
+    with _kept(spark, folder, prep.FEATURES) as data:
         swept = ls.mlp_sweep(data.train, data.test, [[3, 13, 13, 2], [3, 15, 15, 2]])
     return rounded(swept.withColumn("layers", F.concat_ws("-", F.col("layers").cast("array<string>"))), 6)
 
@@ -197,7 +204,7 @@ def train_vs_test_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model_comparison_separable(spark: SparkSession, folder: str) -> DataFrame:
-    with _prepared(spark, folder).kept(partitions=PARTITIONS) as data:
+    with _kept(spark, folder) as data:
         models = {
             "decision_tree": ls.decision_tree(data.train),
             "linear_svc": ls.linear_svc(data.train),
