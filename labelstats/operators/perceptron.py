@@ -113,10 +113,11 @@ def mean_gradient(blocks: RDD, layers: Sequence[int], weights: np.ndarray) -> tu
             count += len(labels)
         yield count, total, gradient
 
-    counts, losses, gradients = zip(*blocks.mapPartitions(sums).collect())
-    if not sum(counts):
+    found = blocks.mapPartitions(sums).collect()
+    n = sum(count for count, _, _ in found)
+    if not n:
         raise ValueError("no rows to fit the perceptron on")
-    return sum(losses) / sum(counts), np.sum(gradients, axis=0) / sum(counts)
+    return sum(loss for _, loss, _ in found) / n, np.sum([part for _, _, part in found], axis=0) / n
 
 
 def _checked(batch: pa.RecordBatch, width: int, classes: int) -> tuple[np.ndarray, np.ndarray]:

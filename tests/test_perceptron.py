@@ -95,7 +95,8 @@ def test_no_rows_and_other_solvers(spark):
 
 def test_queries_keep_their_rows_in_parts_for_all_cores(spark, tmp_path):
     spark.range(400).select(
-        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit("F").alias("l_linestatus"),
+        F.col("id").alias("l_orderkey"), F.lit("F").alias("l_linestatus"),
+        *[F.lit(1).alias(c) for c in ("l_partkey", "l_suppkey", "l_linenumber")],
         *[(F.col("id") % n / 100).alias(c) for c, n in (("l_discount", 11), ("l_quantity", 50), ("l_tax", 9), ("l_extendedprice", 7))],
     ).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
     cores = spark.sparkContext.defaultParallelism
