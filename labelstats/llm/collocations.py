@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelstats.llm.common import byte_batches, bytes_of, fresh_path, remove
+from labelstats.llm.common import batch_bytes, byte_batches, bytes_of, fresh_path, remove
 from labelstats.operators.attach import settle
 from labelstats.operators.numbering import numbered
 
@@ -49,6 +49,8 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 KNOWN = 1 << 22
 #: Bytes of texts in a block.
 BLOCK = 4 << 20
+#: Bytes of the batches that tasks send to Python: a few blocks, not Spark's 64 MB.
+BATCH = 8 << 20
 #: What parts the pieces of a text. One of these marks stands for all that part two words.
 SEPARATORS, MARK = re.compile(rb"[.,;:!?\x0A-\x0D]+"), b"."
 
@@ -267,7 +269,8 @@ def collocations(
     lang: str = "lang", known: int = KNOWN,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language."""
-    phrases, totals = frequent_phrases(docs, least, longest, text, lang, known)
+    with batch_bytes(docs.sparkSession, BATCH):
+        phrases, totals = frequent_phrases(docs, least, longest, text, lang, known)
     found = phrases.where("size > 1").withColumn("words", F.split("phrase", " "))
     # What a phrase of one word more holds as often is dropped.
     shorter = F.explode(F.array(*[part(F.col("words"), s, F.col("size") - 1) for s in (1, 2)]))

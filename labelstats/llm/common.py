@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,6 +47,19 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
+    """For the jobs run inside, Spark sends Python batches of about ``limit`` bytes, one row at
+    least. A task's JVM holds a batch several times outside its heap, and Python once more."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def key_crc(key: Column) -> Column:
     """crc32 of the key written as text; null for a null key."""
     return F.crc32(F.encode(key.cast("string"), "UTF-8"))

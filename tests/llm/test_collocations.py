@@ -81,6 +81,27 @@ def test_phrases_equal_counting(spark, monkeypatch, least, longest, top, known):
     assert len(want) > 5 and rows == want
 
 
+def test_batches_of_blocks_are_small(spark, monkeypatch):
+    """However many blocks a task has, Python gets a few at a time; the session's setting stays."""
+    name, rows_of = "spark.sql.execution.arrow.maxBytesPerBatch", collocations.rows_of
+    before = spark.conf.get(name)
+
+    def watched(batches):
+        for batch in batches:
+            assert batch.num_rows == 1 or batch.nbytes < 40_000, (batch.num_rows, batch.nbytes)
+            yield from rows_of([batch])
+
+    monkeypatch.setattr(collocations, "BLOCK", 2000)
+    monkeypatch.setattr(collocations, "BATCH", 20_000, raising=False)
+    monkeypatch.setattr(collocations, "rows_of", watched)
+    docs = some_docs(random.Random(3)) * 4
+    frame = spark.createDataFrame([(i, t, lang, "s", 0) for i, (t, lang) in enumerate(docs)], DOCS).coalesce(1)
+    found = collocations.collocations(frame, 5, 5, 2000)
+    rows = sorted((tuple(r) for r in found.select(NAMES).collect()), key=lambda r: (r[0], r[1]))
+    assert rows == brute(docs, 5, 5, 2000)
+    assert spark.conf.get(name) == before
+
+
 def test_awkward_documents(awkward, awkward_rows, clashing, none):
     want = brute([(r[1], r[2]) for r in awkward_rows], 100, 5, 2000)
     for docs in (awkward, clashing):
