@@ -48,7 +48,9 @@ HIDDEN = 24
 GOOD = 0.7
 #: Word forms that a worker remembers before it starts anew.
 REMEMBERED = 400_000
-#: Words that are looked up at a time.
+#: Characters of texts whose words a worker has as strings at a time; a longer text is one part.
+LETTERS_AT_ONCE = 1 << 20
+#: Words whose vectors are looked up at a time.
 CHUNK = 1 << 16
 
 EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
@@ -62,12 +64,21 @@ def letters_shape(letters: str) -> str:
     return "Aa" if letters[1:].islower() else "A"
 
 
+@lru_cache(maxsize=4096)
+def marks_shape(marks: str) -> str:
+    """Runs of a mark as two; remembered, as few ends of words are different."""
+    return MARKS.sub(r"\1\1", marks)
+
+
 def shape_of(word: str) -> str:
     """Letters by case, digits as one, runs of a mark as two."""
     if word.isalpha():
         return letters_shape(word)
+    letters = word.rstrip(EDGES)
+    if letters.isalpha():
+        return letters_shape(letters) + marks_shape(word[len(letters) :])
     word = LETTERS.sub(lambda m: letters_shape(m[0]), word)
-    return MARKS.sub(lambda m: m[1] * 2, DIGITS.sub("0", word))
+    return MARKS.sub(r"\1\1", DIGITS.sub("0", word))
 
 
 def hashed(kind: str, form: str, numbers: int) -> int:
@@ -85,27 +96,72 @@ def index_vectors() -> np.ndarray:
     return vectors
 
 
+#: Rows of up to 2 * REACH in a number whose sums fit 16 bits.
+ROWS_PACKED = ((1 << 15) - 1) // (2 * REACH)
+
+
+@lru_cache(maxsize=1)
+def packed_vectors() -> np.ndarray:
+    """The index vectors with four of their numbers in one, 16 bits each, so that four are added
+    at a time. A negative number borrows from the next; ``unpacked`` gives that back."""
+    vectors = index_vectors().reshape(-1, DIMENSIONS // 4, 4)
+    packed = vectors[:, :, 3].astype(np.int64)
+    for lane in (2, 1, 0):
+        packed <<= 16
+        packed += vectors[:, :, lane]
+    return packed
+
+
+def unpacked(sums: np.ndarray) -> np.ndarray:
+    half = np.uint64(0x8000800080008000)
+    lanes = (sums.astype("<u8") + half).astype("<u8").view("<u2")
+    return lanes.astype(np.int64) - 0x8000
+
+
 class Words:
     """Numbers of words, remembered by a worker."""
 
     def __init__(self) -> None:
         self.known: dict[str, int] = {}
+        self.shapes: dict[str, int] = {}
 
-    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of all words of the texts: form numbers, shape numbers, and where texts begin."""
-        groups = [t.split() for t in texts]
+    def learn(self, words: list[str]) -> None:
+        """Remember the numbers of words: form, shape where it is first, shape where repeated."""
+        start, shapes = zlib.crc32(b"w"), list(map(shape_of, words))
+        for shape in set(shapes).difference(self.shapes):
+            first, again = hashed("s", shape, SHAPES), hashed("r", shape, SHAPES)
+            self.shapes[shape] = first * SHAPES + again
+        # As ``hashed`` has it: the check sum goes on from that of the kind.
+        forms = [zlib.crc32(w.lower().strip(EDGES).encode(), start) for w in words]
+        packed = np.array(forms, np.int64) % FORMS * SHAPES**2
+        packed += np.fromiter(map(self.shapes.__getitem__, shapes), np.int64, len(shapes))
+        self.known.update(zip(words, packed.tolist()))
+
+    def looked_up(self, words: list[str]) -> np.ndarray:
+        """What is remembered of each word; each different word is looked up once."""
         known = self.known
         if len(known) >= REMEMBERED:
             known.clear()
-        for w in set().union(*groups).difference(known):
-            # A shape has a number for a first and one for a repeated word.
-            shape = shape_of(w)
-            first, again = hashed("s", shape, SHAPES), hashed("r", shape, SHAPES)
-            known[w] = (hashed("w", w.lower().strip(EDGES), FORMS) * SHAPES + first) * SHAPES + again
-        counts = np.array([len(g) for g in groups], np.int64)
-        packed = np.fromiter(
-            map(known.__getitem__, chain.from_iterable(groups)), np.int64, int(counts.sum())
-        )
+            self.shapes.clear()
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(known.get, different))
+        if new := [w for w, number in zip(different, found) if number is None]:
+            self.learn(new)
+            found = list(map(known.get, different))
+        return np.array(found, np.int64)[coded.indices.to_numpy()]
+
+    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all words of the texts: form numbers, shape numbers, and where texts begin."""
+        counts, packed, first, held = [], [np.zeros(0, np.int64)], 0, 0
+        for at, text in enumerate(texts, 1):
+            held += len(text)
+            if held >= LETTERS_AT_ONCE or at == len(texts):
+                groups = [t.split() for t in texts[first:at]]
+                counts += map(len, groups)
+                packed.append(self.looked_up(list(chain.from_iterable(groups))))
+                first, held = at, 0
+        counts, packed = np.array(counts, np.int64), np.concatenate(packed)
         starts = np.concatenate([[0], np.cumsum(counts)])
         forms = packed // SHAPES**2
         repeated = np.zeros(len(packed), bool)
@@ -119,21 +175,24 @@ def add_contexts(table: np.ndarray, numbers: np.ndarray, starts: np.ndarray) ->
     """Add to each row of the table the index vectors of the words beside it; the last column
     counts the words."""
     text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    for at in range(0, len(numbers), CHUNK):
-        first, last = max(0, at - REACH), at + CHUNK + REACH
+    size = min(CHUNK, ROWS_PACKED)
+    for at in range(0, len(numbers), size):
+        first, last = max(0, at - REACH), at + size + REACH
         own, part = numbers[first:last], text[first:last]
-        vectors = index_vectors()[own]
-        context = np.zeros_like(vectors)  # no more than 2 * REACH in size
+        vectors = packed_vectors()[own]
+        context = np.zeros_like(vectors)  # no more than 2 * REACH in a number
         for step in range(1, REACH + 1):
-            near = (part[:-step] == part[step:])[:, None]
-            context[step:] += vectors[:-step] * near
-            context[:-step] += vectors[step:] * near
-        inner = slice(at - first, at - first + CHUNK)
+            context[step:] += vectors[:-step]
+            context[:-step] += vectors[step:]
+            apart = np.flatnonzero(part[:-step] != part[step:])
+            context[apart + step] -= vectors[apart]
+            context[apart] -= vectors[apart + step]
+        inner = slice(at - first, at - first + size)
         own, context = own[inner], context[inner]
-        order = np.argsort(own, kind="stable")
+        order = np.argsort(own)
         own = own[order]
         groups = np.flatnonzero(np.diff(own, prepend=-1))
-        table[own[groups], :-1] += np.add.reduceat(context[order], groups, axis=0, dtype=np.int64)
+        table[own[groups], :-1] += unpacked(np.add.reduceat(context[order], groups, axis=0))
         table[own[groups], -1] += np.diff(groups, append=len(own))
 
 
@@ -202,11 +261,13 @@ class Network:
         out = np.zeros((len(texts), 2 * DIMENSIONS))
         counts = np.diff(starts)
         text = np.repeat(np.arange(len(texts)), counts)
+        rows = np.empty((min(CHUNK, len(forms)), DIMENSIONS), self.vectors.dtype)  # one for all parts
         for at in range(0, len(forms), CHUNK):
             part = text[at : at + CHUNK]
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             for half, numbers in enumerate((forms, shapes)):
-                sums = np.add.reduceat(self.vectors[numbers[at : at + CHUNK]], first, axis=0)
+                found = self.vectors.take(numbers[at : at + CHUNK], axis=0, out=rows[: len(part)], mode="clip")
+                sums = np.add.reduceat(found, first, axis=0)
                 out[part[first], half * DIMENSIONS : (half + 1) * DIMENSIONS] += sums
         return out / np.maximum(counts, 1)[:, None]
 

@@ -137,6 +137,54 @@ def test_shapes():
     ]
 
 
+def test_shapes_of_ends():
+    for word, shape in [("Ab,,,!", "Aa,,!"), ("É...", "A.."), ("x__--", "a__--"), ("漢字。。。", "A。。"), ("a1,,", "a0,,"), ("ǅz!", "Aa!"), ("__", "__")]:
+        assert quality.shape_of(word) == shape
+
+
+def test_a_word_is_looked_up_once_for_all_its_places():
+    class Counting(dict):
+        looks = 0
+
+        def get(self, *a):
+            self.looks += 1
+            return super().get(*a)
+
+        def __getitem__(self, key):
+            self.looks += 1
+            return super().__getitem__(key)
+
+    words = quality.Words()
+    words.known = Counting()
+    forms, shapes, starts = words.numbers(["a B, " * 3000, "", "B, a"])
+    assert words.known.looks <= 10
+    a, b = (quality.hashed("w", w, quality.FORMS) for w in "ab")
+    assert forms.tolist() == [a, b] * 3000 + [b, a] and starts.tolist() == [0, 6000, 6000, 6002]
+    first, other = (quality.hashed("s", s, quality.SHAPES) + quality.FORMS for s in ("a", "A,"))
+    assert shapes.tolist() == [first, other] * 3000 + [other, first]
+
+
+def test_numbers_of_texts_worked_off_in_parts(monkeypatch, awkward_rows):
+    texts = [r[1] or "" for r in awkward_rows]
+    whole = quality.Words().numbers(texts)
+    for letters in (1, 300):
+        monkeypatch.setattr(quality, "LETTERS_AT_ONCE", letters)
+        assert all(map(np.array_equal, quality.Words().numbers(texts), whole))
+    assert [len(x) for x in quality.Words().numbers([])] == [0, 0, 1]
+
+
+@pytest.mark.parametrize("times", [1, 8191, 8192, 50_000])
+def test_contexts_of_one_word_many_times(times):
+    """Sums of one word reach what 16 bits hold."""
+    words, index = quality.Words(), quality.index_vectors().astype(np.int64)
+    forms, _, starts = words.numbers(["same " * times])
+    table = np.zeros((quality.FORMS + quality.SHAPES, quality.DIMENSIONS + 1), np.int64)
+    quality.add_contexts(table, forms, starts)
+    near = sum(2 * max(times - step, 0) for step in (1, 2))
+    assert table[forms[0]].tolist() == [*(near * index[forms[0]]).tolist(), times]
+    assert table[:, -1].sum() == times
+
+
 def test_contexts_count_neighbours_within_texts(monkeypatch):
     """Also where a text is worked off in parts."""
     words, index = quality.Words(), quality.index_vectors()
