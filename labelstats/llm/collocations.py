@@ -39,18 +39,22 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelstats.llm.common import batch_bytes, byte_batches, bytes_of, fresh_path, remove
+from labelstats.llm.common import batch_bytes, byte_batches, bytes_of, fresh_path, read_rows, remove, settings
 from labelstats.operators.attach import settle
 from labelstats.operators.numbering import numbered
 
 #: Occurrences that make a phrase frequent, words of the longest, and phrases of a report.
 LEAST, LONGEST, TOP = 100, 5, 2000
-#: Frequent groups whose numbers are sent to all tasks: 32 MB, or some 60 MB of words.
+#: Frequent groups that are sent to all tasks: 32 MB, or some 60 MB of words.
 KNOWN = 1 << 22
 #: Bytes of texts in a block.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: Bytes of the batches that tasks send to Python: a few blocks, not Spark's 64 MB.
-BATCH = 8 << 20
+BATCH = 4 << 20
+#: Blocks, or texts, that a task reads from Parquet at a time.
+ROWS = 8
+#: Bytes of a row group of a relation on disk; tasks hold one whole when they write and read.
+ROW_GROUP = 16 << 20
 #: What parts the pieces of a text. One of these marks stands for all that part two words.
 SEPARATORS, MARK = re.compile(rb"[.,;:!?\x0A-\x0D]+"), b"."
 
@@ -61,8 +65,14 @@ def words_of(texts: list[bytes]) -> list[bytes]:
 
 
 def persisted(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The relation read from disk. Rows are large, so that sizes of pages and row groups are
+    looked at after each row; else a hundred rows are held before the first look."""
     path = fresh_path(frame.sparkSession, name)
-    frame.write.option("compression", "zstd").parquet(path)
+    layout = {
+        "compression": "zstd", "parquet.block.size": ROW_GROUP, "parquet.block.size.row.check.min": 1,
+        "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": False,
+    }
+    frame.write.options(**layout).parquet(path)
     return frame.sparkSession.read.parquet(path), path
 
 
@@ -71,28 +81,31 @@ def read_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
     each comes, and all places: 1 and up for a word, 0 for a mark."""
     source = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
 
+    def coded(block: int, own: str, texts: list[bytes]) -> pa.RecordBatch:
+        found = words_of(texts)
+        code = defaultdict(count().__next__, {})
+        code[MARK]
+        codes = np.fromiter(map(code.__getitem__, found), np.int32, len(found))
+        counts = np.bincount(codes, minlength=len(code))[1:]
+        words = pa.array(list(code)[1:], pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([block]), pa.array([own], pa.string()),
+                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
+                pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts, pa.int64())),
+                pa.array([codes.astype("<i4").tobytes()]),
+            ],
+            ["block", "lang", "words", "counts", "codes"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = count(TaskContext.get().partitionId() << 32)
         for batch in byte_batches(batches, "text", BLOCK):
             texts = defaultdict(list)
             for own, t in zip(batch.column("lang").to_pylist(), bytes_of(batch, "text")):
                 texts[own].append(t)
-            for own, some in texts.items():
-                found = words_of(some)
-                code = defaultdict(count().__next__, {})
-                code[MARK]
-                codes = np.fromiter(map(code.__getitem__, found), np.int32, len(found))
-                counts = np.bincount(codes, minlength=len(code))[1:]
-                words = pa.array(list(code)[1:], pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([next(numbers)]), pa.array([own], pa.string()),
-                        pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                        pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts, pa.int64())),
-                        pa.array([codes.astype("<i4").tobytes()]),
-                    ],
-                    ["block", "lang", "words", "counts", "codes"],
-                )
+            while texts:
+                yield coded(next(numbers), *texts.popitem())
 
     return source.mapInArrow(
         run, "block long, lang string, words array<string>, counts array<long>, codes binary"
@@ -135,28 +148,33 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Scalar]]
 def count_groups(relation: DataFrame, words: int) -> DataFrame:
     """(key, f) of all groups that neighbours in the relation make."""
 
+    def counted(row: dict[str, pa.Scalar]) -> pa.RecordBatch:
+        keys, counts = np.unique(joined(row, words)[1], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            keys, counts = np.unique(joined(row, words)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+        yield from map(counted, rows_of(batches))
 
     return relation.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("f"))
 
 
 def kept_words(blocks: DataFrame, frequent: DataFrame, known: int) -> DataFrame:
-    """R(1): the places of frequent words (lang, phrase, number)."""
+    """R(1): the places of frequent words (lang, phrase, number), numbered from 0 by lang and phrase."""
     spark = blocks.sparkSession
     if frequent.count() <= known:
-        table = frequent.select("lang", "phrase", "number").toArrow()
-        shared = spark.sparkContext.broadcast(table)
+        # A phrase's number is its place in the table, in which languages are runs.
+        table = frequent.select("lang", "phrase", "number").toArrow().sort_by("number")
+        runs = pc.run_end_encode(table.column("lang").combine_chunks())
+        ends = runs.run_ends.to_pylist()
+        places = dict(zip(runs.values.to_pylist(), zip([0, *ends], ends)))
+        shared = spark.sparkContext.broadcast((table.column("phrase").combine_chunks(), places))
 
         def numbers(row: dict[str, pa.Scalar]) -> np.ndarray:
-            own = shared.value.filter(pc.equal(shared.value.column("lang"), row["lang"]))
-            at = pc.index_in(row["words"].values, own.column("phrase").combine_chunks())
-            hit = np.append(False, pc.is_valid(at).to_numpy(False))
-            out = np.full(len(hit), -1, np.int64)
-            out[hit] = own.column("number").to_numpy()[pc.drop_null(at).to_numpy()]
-            return out
+            phrases, places = shared.value
+            start, end = places.get(row["lang"].as_py(), (0, 0))
+            at = pc.index_in(row["words"].values, phrases.slice(start, end - start))
+            at = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+            return np.append(-1, np.where(at < 0, -1, at + start))
 
     else:
         own = blocks.select("block", "lang", F.posexplode("words").alias("at", "phrase"))
@@ -170,24 +188,26 @@ def kept_words(blocks: DataFrame, frequent: DataFrame, known: int) -> DataFrame:
                 out[at.to_numpy() + 1] = number.to_numpy()
             return out
 
+    def kept(row: dict[str, pa.Scalar]) -> pa.RecordBatch:
+        groups = numbers(row)[np.frombuffer(row["codes"].as_buffer(), "<i4")]
+        places = np.flatnonzero(groups >= 0)
+        return relation_batch(row["block"].as_py(), places, groups[places], groups[places])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            groups = numbers(row)[np.frombuffer(row["codes"].as_buffer(), "<i4")]
-            places = np.flatnonzero(groups >= 0)
-            yield relation_batch(row["block"].as_py(), places, groups[places], groups[places])
+        yield from map(kept, rows_of(batches))
 
     return blocks.mapInArrow(run, RELATION)
 
 
 def kept_groups(relation: DataFrame, words: int, frequent: DataFrame, known: int) -> DataFrame:
-    """R(k + 1): the joined rows of R(k) whose group is frequent (key, number)."""
+    """R(k + 1): the joined rows of R(k) whose group is frequent (key, number), numbered from 0 by key."""
     spark = relation.sparkSession
     if frequent.count() <= known:
-        table = frequent.select("key", "number").toArrow().sort_by("key")
-        shared = spark.sparkContext.broadcast([table.column(c).to_numpy() for c in ("key", "number")])
+        # A key's number is its place among the sorted keys.
+        shared = spark.sparkContext.broadcast(np.sort(frequent.select("key").toArrow().column("key").to_numpy()))
 
-        def numbers(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, np.ndarray]:
-            return shared.value
+        def numbers(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, np.ndarray | None]:
+            return shared.value, None
 
     else:
         def own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,18 +222,19 @@ def kept_groups(relation: DataFrame, words: int, frequent: DataFrame, known: int
             own.select("block", F.col("own.key").alias("keys"), F.col("own.number").alias("numbers")), "block"
         )
 
-        def numbers(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, np.ndarray]:
+        def numbers(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, np.ndarray | None]:
             return row["keys"].values.to_numpy(), row["numbers"].values.to_numpy()
 
+    def kept(row: dict[str, pa.Scalar]) -> pa.RecordBatch:
+        places, keys, lasts = joined(row, words)
+        sorted_keys, number = numbers(row)
+        at = np.searchsorted(sorted_keys, keys)
+        hit = np.flatnonzero(sorted_keys.take(at, mode="clip") == keys) if len(sorted_keys) else at[:0]
+        at = at[hit]
+        return relation_batch(row["block"].as_py(), places[hit], at if number is None else number[at], lasts[hit])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            places, keys, lasts = joined(row, words)
-            sorted_keys, number = numbers(row)
-            if not len(sorted_keys):
-                continue
-            at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-            hit = sorted_keys[at] == keys
-            yield relation_batch(row["block"].as_py(), places[hit], number[at[hit]], lasts[hit])
+        yield from map(kept, rows_of(batches))
 
     return relation.mapInArrow(run, RELATION)
 
@@ -269,7 +290,7 @@ def collocations(
     lang: str = "lang", known: int = KNOWN,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language."""
-    with batch_bytes(docs.sparkSession, BATCH):
+    with settings(docs.sparkSession, batch_bytes(BATCH) | read_rows(ROWS)):
         phrases, totals = frequent_phrases(docs, least, longest, text, lang, known)
     found = phrases.where("size > 1").withColumn("words", F.split("phrase", " "))
     # What a phrase of one word more holds as often is dropped.

@@ -48,16 +48,28 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def batch_bytes(spark: SparkSession, limit: int) -> Iterator[None]:
-    """For the jobs run inside, Spark sends Python batches of about ``limit`` bytes, one row at
-    least. A task's JVM holds a batch several times outside its heap, and Python once more."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(limit))
+def settings(spark: SparkSession, values: dict[str, int]) -> Iterator[None]:
+    """For the jobs run inside, the session has these settings; those from before are put back."""
+    before = {name: spark.conf.get(name) for name in values}
     try:
+        for name, value in values.items():
+            spark.conf.set(name, str(value))
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def batch_bytes(limit: int) -> dict[str, int]:
+    """With this setting Spark sends Python batches of about ``limit`` bytes, one row at least.
+    A task's JVM holds a batch several times outside its heap, and Python once more."""
+    return {"spark.sql.execution.arrow.maxBytesPerBatch": limit}
+
+
+def read_rows(limit: int) -> dict[str, int]:
+    """With this setting a task takes ``limit`` rows of a Parquet file into its heap at a time,
+    not Spark's 4,096, which are all of a file of large rows."""
+    return {"spark.sql.parquet.columnarReaderBatchSize": limit}
 
 
 def key_crc(key: Column) -> Column:

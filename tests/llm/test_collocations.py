@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from labelstats.llm import collocations
@@ -102,6 +104,43 @@ def test_batches_of_blocks_are_small(spark, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_relations_have_small_row_groups(spark, monkeypatch):
+    """A task holds a row group whole: few large rows, not a hundred before the first look at their size."""
+    monkeypatch.setattr(collocations, "ROW_GROUP", 100_000, raising=False)
+    hashes = "array_join(transform(sequence(1, 600), i -> sha2(string(1000 * id + i), 256)), '')"
+    frame = spark.range(0, 60, 1, 1).selectExpr("id", f"unhex({hashes}) AS b")  # 19,200 bytes a row
+    relation, path = collocations.persisted(frame, "rows")
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in relation.inputFiles()]
+    groups = [file.row_group(i) for file in files for i in range(file.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 60 == relation.distinct().count()
+    assert max(g.total_byte_size for g in groups) < 200_000
+    collocations.remove(spark, path)
+
+
+def test_tasks_get_keys_alone_and_read_few_rows(spark, monkeypatch):
+    """What is sent to all tasks has eight bytes a group; blocks are read a few at a time."""
+    name, persisted, seen, sent = "spark.sql.parquet.columnarReaderBatchSize", collocations.persisted, [], []
+    before, broadcast, kept_groups = spark.conf.get(name), spark.sparkContext.broadcast, collocations.kept_groups
+
+    def watched(*args):
+        seen.append(int(spark.conf.get(name)))
+        return persisted(*args)
+
+    def kept(relation, words, frequent, known):
+        monkeypatch.setattr(spark.sparkContext, "broadcast", lambda v: sent.append((len(pickle.dumps(v)), frequent.count())) or broadcast(v))
+        return kept_groups(relation, words, frequent, known)
+
+    monkeypatch.setattr(collocations, "persisted", watched)
+    monkeypatch.setattr(collocations, "kept_groups", kept)
+    docs = some_docs(random.Random(4))
+    frame = spark.createDataFrame([(i, t, lang, "s", 0) for i, (t, lang) in enumerate(docs)], DOCS)
+    found = collocations.collocations(frame, 2, 5, 2000)
+    rows = sorted((tuple(r) for r in found.select(NAMES).collect()), key=lambda r: (r[0], r[1]))
+    assert rows == brute(docs, 2, 5, 2000)
+    assert seen and max(seen) <= 64 and spark.conf.get(name) == before
+    assert sent and all(size < 8 * groups + 500 for size, groups in sent) and max(g for _, g in sent) > 100
+
+
 def test_awkward_documents(awkward, awkward_rows, clashing, none):
     want = brute([(r[1], r[2]) for r in awkward_rows], 100, 5, 2000)
     for docs in (awkward, clashing):
