@@ -53,6 +53,8 @@ BLOCK = 2 << 20
 BATCH = 4 << 20
 #: Blocks, or texts, that a task reads from Parquet at a time.
 ROWS = 8
+#: Tasks for each core that write a relation, at most.
+TASKS = 8
 #: Bytes of a row group of a relation on disk; tasks hold one whole when they write and read.
 ROW_GROUP = 16 << 20
 #: What parts the pieces of a text. One of these marks stands for all that part two words.
@@ -76,6 +78,16 @@ def persisted(frame: DataFrame, name: str) -> tuple[DataFrame, str]:
     return frame.sparkSession.read.parquet(path), path
 
 
+def in_few_tasks(frame: DataFrame) -> DataFrame:
+    """The frame for writing, some neighbouring splits in a task. For each file that an executor
+    writes to a local disk Hadoop starts ``chmod`` twice, and for a moment the new process shows the
+    executor's memory once more. Where executors come and go, the cores to be are not known."""
+    context = frame.sparkSession.sparkContext
+    if context.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return frame
+    return frame.coalesce(TASKS * context.defaultParallelism)
+
+
 def read_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """(block, lang, words, counts, codes): the different words of a block of texts, how often
     each comes, and all places: 1 and up for a word, 0 for a mark."""
@@ -107,7 +119,7 @@ def read_words(docs: DataFrame, text: str, lang: str) -> DataFrame:
             while texts:
                 yield coded(next(numbers), *texts.popitem())
 
-    return source.mapInArrow(
+    return in_few_tasks(source).mapInArrow(
         run, "block long, lang string, words array<string>, counts array<long>, codes binary"
     )
 
@@ -168,6 +180,7 @@ def kept_words(blocks: DataFrame, frequent: DataFrame, known: int) -> DataFrame:
         ends = runs.run_ends.to_pylist()
         places = dict(zip(runs.values.to_pylist(), zip([0, *ends], ends)))
         shared = spark.sparkContext.broadcast((table.column("phrase").combine_chunks(), places))
+        blocks = in_few_tasks(blocks)
 
         def numbers(row: dict[str, pa.Scalar]) -> np.ndarray:
             phrases, places = shared.value
@@ -205,6 +218,7 @@ def kept_groups(relation: DataFrame, words: int, frequent: DataFrame, known: int
     if frequent.count() <= known:
         # A key's number is its place among the sorted keys.
         shared = spark.sparkContext.broadcast(np.sort(frequent.select("key").toArrow().column("key").to_numpy()))
+        relation = in_few_tasks(relation)
 
         def numbers(row: dict[str, pa.Scalar]) -> tuple[np.ndarray, np.ndarray | None]:
             return shared.value, None
